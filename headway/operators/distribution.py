@@ -20,7 +20,7 @@ WAIT = "time_remaining_minutes"
 PERCENTILES = (10, 25, 50, 75, 90, 95, 99)  # fixed values
 HISTOGRAM_BINS = 50  # fixed value
 WHISKER = 1.5
-_EXPAND = 1 << 16
+RANK_BLOCK = 65_536  # ranks that one row unfolds to
 
 
 def value_counts(df: DataFrame, value: str = WAIT, by: Iterable[str] = ()) -> DataFrame:
@@ -113,16 +113,16 @@ def cdf(df: DataFrame, value: str = WAIT) -> DataFrame:
     over tasks, so a value with very many rows is neither one array nor one task.
     """
     rows = df.agg(F.count(F.lit(1)).alias("rows")).scalar()
+    step = F.lit(RANK_BLOCK).cast("bigint")
     blocks = running_counts(df, value).select(
-        value,
-        "upto",
-        F.explode(F.sequence(F.col("upto") - F.col("n") + 1, F.col("upto"), F.lit(_EXPAND))).alias("first"),
+        value, "upto", F.explode(F.sequence(F.col("upto") - F.col("n") + 1, F.col("upto"), step)).alias("first")
     )
-    ranked = blocks.hint("rebalance").select(
-        value,
-        F.explode(
-            F.sequence("first", F.least(F.col("first") + _EXPAND - 1, F.col("upto")))
-        ).alias("rank"),
+    # A block is a few bytes that unfold to many rows, so the number of tasks is stated: adaptive
+    # execution would merge by bytes.
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    last = F.least(F.col("first") + step - 1, F.col("upto"))
+    ranked = blocks.repartition(tasks, value, "first").select(
+        value, F.explode(F.sequence("first", last)).alias("rank")
     )
     unranked = df.filter(F.col(value).isNull()).select(value, F.lit(None).cast("bigint").alias("rank"))
     return ranked.unionByName(unranked).select(value, (F.col("rank") / rows).alias("probability"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from headway.plans.models import FACT_COLUMNS, dim_lines, dim_stations, fact_delays, stg_arrivals
 
@@ -13,11 +13,14 @@ MARTS = ("fact_delays", "dim_lines", "dim_stations")
 
 
 def register_views(
-    raw: DataFrame, marts: dict[str, DataFrame] | None = None, tie_break: Iterable[Column] = ()
+    raw: DataFrame,
+    marts: dict[str, DataFrame] | None = None,
+    extra: Iterable[str] = (),
+    tie_break: Iterable[str] = (),
 ) -> None:
     """Make ``raw_arrivals`` and ``stg_arrivals`` (and given marts) views for ``spark.sql``."""
     raw.createOrReplaceTempView("raw_arrivals")
-    stg_arrivals(raw, tie_break=tie_break).createOrReplaceTempView("stg_arrivals")
+    stg_arrivals(raw, extra, tie_break).createOrReplaceTempView("stg_arrivals")
     for name, df in (marts or {}).items():
         df.createOrReplaceTempView(name)
 
@@ -27,7 +30,7 @@ def build_marts(
     raw: DataFrame,
     out: str | None = None,
     extra: Iterable[str] = (),
-    tie_break: Iterable[Column] = (),
+    tie_break: Iterable[str] = (),
 ) -> dict[str, DataFrame]:
     """Rebuild the three marts, as parquet under ``out`` or, without it, as tables of the catalog.
 

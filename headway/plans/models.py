@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from headway.functions.columns import clock_hour, is_urban, line_color
@@ -37,14 +37,14 @@ def stage_source(raw: DataFrame, extra: Iterable[str] = ()) -> DataFrame:
 
 
 def stg_arrivals(
-    raw: DataFrame, extra: Iterable[str] = (), tie_break: Iterable[Column] = ()
+    raw: DataFrame, extra: Iterable[str] = (), tie_break: Iterable[str] = ()
 ) -> DataFrame:
     """Staging: the latest row per arrival id.
 
-    Rows of the same id and timestamp are picked from at will, unless ``tie_break`` orders them (its
-    columns must be among the staged or ``extra`` ones).
+    Rows of the same id and timestamp are picked from at will, unless ``tie_break`` names staged or
+    ``extra`` columns whose greatest value wins.
     """
-    order = [F.col("ingestion_timestamp").desc(), *tie_break]
+    order = [F.col(c).desc() for c in ("ingestion_timestamp", *tie_break)]
     return dedupe_latest(stage_source(raw, extra), ["arrival_id"], order)
 
 
