@@ -377,7 +377,7 @@ def scalar_functions(spark, sf):
         C.chart_color(F.col("line_name")).alias("chart_color"),
         C.is_urban(F.col("line_code")).alias("is_urban"),
         C.round_half_even(seconds / 7, 2).alias("two_digits"),
-        C.fixed_text(seconds / 60, 1, " min").alias("minutes_text"),
+        C.one_decimal_text(seconds / 60, " min").alias("minutes_text"),
         C.thousands_text(seconds * 1000).alias("thousands"),
     )
 

@@ -39,9 +39,27 @@ def round_half_even(value: Column, digits: int) -> Column:
     return F.rint(value * scale) / scale
 
 
-def fixed_text(value: Column, digits: int = 1, suffix: str = "", missing: str = "N/A") -> Column:
-    """Fixed-point text with a fallback for null."""
-    shown = F.format_string(f"%.{digits}f{suffix}", F.bround(value, digits))
+def nearest_tenth(value: Column) -> Column:
+    """The nearest multiple of 0.1 to the binary value, exact ties to the even tenth.
+
+    Spark rounds the shortest decimal text of a double, which calls 0.35 a tie although the double
+    lies below it. Here ``halves`` counts twentieths; where it is odd the value is near a tie, and
+    ``excess``, whose steps are all exact in binary, tells the side.
+    """
+    halves = F.rint(value * 20.0)
+    excess = (value * 16.0 - halves) + value * 4.0
+    tenths = (
+        F.when(halves % 2 == 0, halves / 2)
+        .when(excess > 0, (halves + 1) / 2)
+        .when(excess < 0, (halves - 1) / 2)
+        .otherwise(F.rint(halves / 2))
+    )
+    return tenths / 10.0
+
+
+def one_decimal_text(value: Column, suffix: str = "", missing: str = "N/A") -> Column:
+    """Text with one decimal and a fallback for null."""
+    shown = F.format_string(f"%.1f{suffix}", nearest_tenth(value.cast("double")))
     return F.when(value.isNull(), F.lit(missing)).otherwise(shown)
 
 

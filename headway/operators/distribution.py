@@ -13,7 +13,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from headway.functions.columns import all_present, fixed_text
+from headway.functions.columns import all_present, one_decimal_text
 from headway.session import durable
 
 WAIT = "time_remaining_minutes"
@@ -29,15 +29,16 @@ def value_counts(df: DataFrame, value: str = WAIT, by: Iterable[str] = ()) -> Da
     return df.filter(all_present(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
 
 
-def running_counts(df: DataFrame, value: str = WAIT, by: Sequence[str] = ()) -> DataFrame:
-    """Distinct values with ``n``, ``upto`` (rows at or below the value) and ``total`` per group.
+def _ranged_counts(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
+    """Counts of distinct values cut into ranges of about equal length, numbered by ``slice``.
 
-    The counts are cut into ranges of about equal length; each range sums on its own and adds what
-    the ranges before it hold. The ranges are written once, since both readers need the same cuts.
+    Written once, since its readers need the same cuts.
     """
-    by = list(by)
     ranged = value_counts(df, value, by).repartitionByRange(*by, value)
-    ranged = durable(ranged.withColumn("slice", F.spark_partition_id()))
+    return durable(ranged.withColumn("slice", F.spark_partition_id()))
+
+
+def _running(ranged: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
     # One row per (group, slice): a sum over slices handles no more rows than there are slices.
     slices = ranged.groupBy(*by, "slice").agg(F.sum("n").alias("held"))
     earlier = Window.partitionBy(*by).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
@@ -54,6 +55,14 @@ def running_counts(df: DataFrame, value: str = WAIT, by: Sequence[str] = ()) ->
     )
 
 
+def running_counts(df: DataFrame, value: str = WAIT, by: Sequence[str] = ()) -> DataFrame:
+    """Distinct values with ``n``, ``upto`` (rows at or below the value) and ``total`` per group.
+
+    Each range of values sums on its own and adds what the ranges before it hold.
+    """
+    return _running(_ranged_counts(df, value, by), value, by)
+
+
 def _quantile(value: str, q: float) -> Column:
     """Aggregate over running counts: the linearly interpolated quantile."""
     position = F.lit(q) * (F.col("total") - 1)
@@ -90,7 +99,7 @@ def percentiles(
         ]
     )
     return rows.select(*by, F.inline(entries)).withColumn(
-        "wait_text", fixed_text(F.col("wait_minutes"), 1)
+        "wait_text", one_decimal_text(F.col("wait_minutes"))
     )
 
 
@@ -151,8 +160,8 @@ def histogram(df: DataFrame, bins: int = HISTOGRAM_BINS, value: str = WAIT) -> D
 def box_stats(df: DataFrame, by: Sequence[str] = (), value: str = WAIT) -> DataFrame:
     """Box-plot summary per group: ends, quartiles, and whiskers within 1.5 quartile ranges."""
     by = list(by)
-    counts = running_counts(df, value, by)
-    boxes = counts.groupBy(*by).agg(
+    ranged = _ranged_counts(df, value, by)
+    boxes = _running(ranged, value, by).groupBy(*by).agg(
         F.min(value).cast("double").alias("least"),
         _quantile(value, 0.25).alias("q1"),
         _quantile(value, 0.5).alias("median"),
@@ -163,10 +172,10 @@ def box_stats(df: DataFrame, by: Sequence[str] = (), value: str = WAIT) -> DataF
     reach = F.lit(WHISKER) * (F.col("q3") - F.col("q1"))
     fenced = boxes.withColumns({"fence_lo": F.col("q1") - reach, "fence_hi": F.col("q3") + reach})
     if by:
-        inside = counts.select(*by, value).join(fenced.select(*by, "fence_lo", "fence_hi"), by)
+        inside = ranged.select(*by, value).join(fenced.select(*by, "fence_lo", "fence_hi"), by)
         lo, hi = F.col("fence_lo"), F.col("fence_hi")
     else:
-        inside = counts
+        inside = ranged
         fences = fenced.select(F.struct("fence_lo", "fence_hi")).scalar()
         lo, hi = fences.getField("fence_lo"), fences.getField("fence_hi")
     whiskers = (

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ALL_HOURS = (0, 23)
@@ -66,20 +66,22 @@ def newest(df: DataFrame, n: int, time: str, day: str) -> DataFrame:
     """The ``n`` newest rows by ``time``; ``day`` is the date of ``time``, best a partition column.
 
     A plain sort-and-limit keeps ``n`` rows of every input task and merges them all in one task. So
-    first find from row counts per day, then per second of the days left, how far back the ``n``
-    newest rows can reach, and sort only from there on. Counting days reads no column data, and the
-    day bound prunes partitions at run time. The bounds only skip rows that ``n`` others are newer
-    than; rows of equal time are cut at will. ``time`` must not be null.
+    first find the time of the ``n``-th newest row, from row counts per day, then per second of the
+    days left, then per time within the second. Counting days reads no column data, and the day bound
+    prunes partitions at run time. Fewer than ``n`` rows are newer than that time; of the rows right
+    at it, which may be any number, as many as needed are taken at will. ``time`` must not be null.
     """
 
-    def reach(frame: DataFrame, unit: str) -> DataFrame:
+    def reach(frame: DataFrame, unit: str) -> Column:
         counts = frame.groupBy(unit).agg(F.count(F.lit(1)).alias("n"))
-        # One row per day or second: few, whatever the volume.
+        # One row per day, second or microsecond of a second: bounded whatever the volume.
         counts = counts.selectExpr(unit, f"sum(n) over (order by {unit} desc) - n as newer")
-        return counts.filter(F.col("newer") < n).agg(F.min(unit))
+        return counts.filter(F.col("newer") < n).agg(F.min(unit)).scalar()
 
-    recent = df.filter(F.col(day) >= reach(df, day).scalar())
+    recent = df.filter(F.col(day) >= reach(df, day))
     second = F.date_trunc("second", time).cast(df.schema[time].dataType)
-    seconds = recent.select(second.alias("second"))
-    recent = recent.filter(F.col(time) >= reach(seconds, "second").scalar())
-    return recent.orderBy(F.col(time).desc()).limit(n)
+    since = reach(recent.select(second.alias("second")), "second")
+    cutoff = reach(recent.filter(F.col(time) >= since).select(time), time)
+    newer = recent.filter(F.col(time) > cutoff)
+    level = recent.filter(F.col(time) == cutoff).limit(n)
+    return newer.union(level).orderBy(F.col(time).desc()).limit(n)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from headway.functions.columns import (
     all_present,
-    fixed_text,
+    one_decimal_text,
     outside_band,
     round_half_even,
     thousands_text,
@@ -39,8 +39,8 @@ def overview_text(overview_row: DataFrame) -> DataFrame:
     """The overview as it is shown: thousands separators, one decimal, ``N/A`` for null."""
     return overview_row.select(
         thousands_text(F.col("total_arrivals")).alias("total_arrivals"),
-        fixed_text(F.col("avg_wait"), 1, " min").alias("avg_wait"),
-        fixed_text(F.col("std_wait"), 1, " min").alias("std_wait"),
+        one_decimal_text(F.col("avg_wait"), " min").alias("avg_wait"),
+        one_decimal_text(F.col("std_wait"), " min").alias("std_wait"),
         F.col("active_lines"),
     )
 
