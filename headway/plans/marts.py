@@ -50,7 +50,7 @@ def build_marts(
             return spark.table(name)
         path = os.path.join(out, name)
         writer.parquet(path)
-        return spark.read.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)  # an empty mart has no files to ask
 
     stg = stg_arrivals(raw, extra, tie_break)
     fact = publish(fact_delays(stg), "fact_delays", "ingestion_date").select(*FACT_COLUMNS)
