@@ -8,6 +8,7 @@ cost the whole document. ``rejected`` lists what was lost and why.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from headway.functions.columns import lookup
 from headway.schemas import RAW_COLUMNS, SCHEDULE
 
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"  # fixed value
+NO_SEQUENCE = -(2**63)  # marks a sequence number that cannot be read; less than any other
 
 
 def parse_payload(envelopes: DataFrame) -> DataFrame:
@@ -24,107 +26,124 @@ def parse_payload(envelopes: DataFrame) -> DataFrame:
     return envelopes.withColumn("schedule", F.from_json("payload", SCHEDULE))
 
 
-def _value_or(train: Column, key: str, default: Column) -> Column:
+def _text_or(train: Column, key: str, default: str) -> Column:
     """A train's value; ``default`` if the key is absent, null if it is there and null."""
-    return F.when(F.map_contains_key(train, key), F.try_element_at(train, F.lit(key))).otherwise(default)
+    return F.coalesce(
+        F.try_element_at(train, F.lit(key)), F.when(~F.map_contains_key(train, key), F.lit(default))
+    )
 
 
 def _sequence(train: Column) -> Column:
-    """Sequence number, 0 if absent, null if it is not an integer."""
-    return F.when(train.isNull(), F.lit(None)).otherwise(
-        _value_or(train, "seq", F.lit("0")).try_cast("bigint")
+    """Sequence number, 0 if absent, ``NO_SEQUENCE`` if it is not an integer."""
+    unusable = train.isNull() | F.map_contains_key(train, "seq")
+    return F.coalesce(
+        F.try_element_at(train, F.lit("seq")).try_cast("bigint"),
+        F.when(unusable, F.lit(NO_SEQUENCE)).otherwise(F.lit(0).cast("bigint")),
     )
 
 
-def _first_train(trains: Column) -> Column:
-    """The train with the least sequence number, the earliest listed on a tie.
+def _of(direction: str, step: str) -> Column:
+    return F.col(f"{direction}_{step}")
 
-    Ordering by ``(sequence, position)`` keeps the map itself out of the comparison.
-    """
-    keyed = F.transform(trains, lambda m, i: F.struct(_sequence(m).alias("seq"), i.alias("pos")))
-    return F.try_element_at(trains, F.array_min(keyed)["pos"] + 1)
+
+def _both(df: DataFrame, step: str, expression) -> DataFrame:
+    """Add ``<direction>_<step>`` for both directions."""
+    return df.withColumns({f"{d}_{step}": expression(d) for d in network.DIRECTIONS})
 
 
-def _any(trains: Column, test) -> Column:
-    return F.coalesce(F.exists(trains, test), F.lit(False))
+def _in_either(step: str, test=lambda column: column) -> Column:
+    found = [F.coalesce(test(_of(d, step)), F.lit(False)) for d in network.DIRECTIONS]
+    return reduce(lambda a, b: a | b, found)
 
 
-def _entries() -> Column:
-    """Per document an array of ``(direction, train, fault)``.
+def _first_trains(envelopes: DataFrame) -> DataFrame:
+    """Documents with the first train of each direction and ``fault``, the reason to drop them whole.
 
-    A sound document has one entry per listed direction; a faulty one has a single entry that names
-    the fault.
+    Each step is a projection of its own, so the JSON text and the lists are gone through once.
     """
-    boards = {name: F.col(f"board.{name}") for name in network.DIRECTIONS}
-    lists = F.array(
-        *[F.struct(F.lit(n).alias("direction"), b.alias("trains")) for n, b in boards.items()]
-    )
-    listed = F.filter(lists, lambda d: F.coalesce(F.size(d["trains"]) > 0, F.lit(False)))
-    firsts = F.transform(
-        listed,
-        lambda d: F.struct(
-            d["direction"].alias("direction"),
-            _first_train(d["trains"]).alias("train"),
-            F.lit(None).cast("string").alias("fault"),
-        ),
+    key = F.concat_ws("-", "line_code", "station_code")
+    docs = parse_payload(envelopes).withColumn("board", F.try_element_at("schedule.data", key))
+    docs = _both(docs, "trains", lambda d: F.col(f"board.{d}"))
+    docs = _both(docs, "order", lambda d: F.transform(_of(d, "trains"), _sequence))
+    docs = _both(docs, "least", lambda d: F.array_min(_of(d, "order")))
+    # The first position of the least number is the earliest listed train on a tie.
+    position = {
+        d: F.array_position(_of(d, "order"), _of(d, "least")).cast("int") for d in network.DIRECTIONS
+    }
+    docs = _both(docs, "train", lambda d: F.try_element_at(_of(d, "trains"), position[d]))
+    docs = _both(
+        docs,
+        "null_wait",
+        lambda d: F.try_element_at(_of(d, "train"), F.lit("ttnt")).isNull()
+        & F.map_contains_key(_of(d, "train"), "ttnt"),
     )
-    bad_sequence = F.lit(False)
-    null_wait = F.lit(False)
-    for trains in boards.values():
-        first = _first_train(trains)
-        bad_sequence = bad_sequence | _any(trains, lambda m: _sequence(m).isNull())
-        null_wait = null_wait | F.coalesce(
-            F.map_contains_key(first, "ttnt") & F.try_element_at(first, F.lit("ttnt")).isNull(),
-            F.lit(False),
-        )
     unreadable = F.col("schedule.data").isNull() & F.col("schedule._corrupt_record").isNotNull()
-    fault = (
+    return docs.withColumn(
+        "fault",
         F.when(unreadable, "unparsable_payload")
-        .when(bad_sequence, "bad_sequence")
-        .when(null_wait, "null_wait")
+        .when(_in_either("least", lambda least: least == NO_SEQUENCE), "bad_sequence")
+        .when(_in_either("null_wait"), "null_wait"),
     )
-    train_type = "map<string,string>"
-    whole = F.array(
-        F.struct(
-            F.lit(None).cast("string").alias("direction"),
-            F.lit(None).cast(train_type).alias("train"),
-            fault.alias("fault"),
-        )
+
+
+def _reading(direction: str) -> Column:
+    """The values of a direction's first train, null if it has none."""
+    train, wait, time = (_of(direction, step) for step in ("train", "wait", "time"))
+    reason = (
+        F.when(wait.isNull(), "bad_wait").when(wait < 0, "negative_wait").when(time.isNull(), "bad_time")
+    )
+    values = F.struct(
+        F.lit(direction).alias("direction"),
+        wait.alias("time_remaining"),
+        time.alias("arrival_time"),
+        _text_or(train, "dest", "").alias("dest_station"),
+        _text_or(train, "plat", "").alias("platform"),
+        reason.alias("reason"),
     )
-    return F.when(fault.isNotNull(), whole).otherwise(firsts)
+    return F.when(F.size(train) > 0, values)
 
 
-def _direction_rows(envelopes: DataFrame) -> DataFrame:
-    """One row per direction with its values read, ``reason`` set where something is bad.
+def _readings(envelopes: DataFrame) -> DataFrame:
+    """One row per direction that has a train, ``reason`` set where a value is bad.
 
-    The JSON text is parsed once per document: the faults leave through the generator, because a
-    filter on a plain column would be pushed below the projection and parse the text again.
+    A document dropped whole gives one row without direction. The rows leave through a generator:
+    Spark would push a filter on plain columns below all these projections and evaluate them twice.
     """
-    key = F.concat_ws("-", "line_code", "station_code")
-    boards = parse_payload(envelopes).withColumn("board", F.try_element_at("schedule.data", key))
-    rows = boards.select(
-        "line_code", "station_code", "fetched_at", "payload", F.inline(_entries())
-    ).filter(F.col("fault").isNotNull() | (F.size("train") > 0))
-    train, stamp = F.col("train"), F.col("fetched_at")
-    stamp_type = rows.schema["fetched_at"].dataType
-    clock = F.coalesce(_value_or(train, "time", F.lit("")), F.lit(""))
-    return rows.withColumns(
-        {
-            "time_remaining": F.try_multiply(
-                _value_or(train, "ttnt", F.lit("0")).try_cast("bigint"), F.lit(60).cast("bigint")
-            ),
-            "arrival_time": F.when(clock == "", stamp).otherwise(
-                F.try_to_timestamp(clock, F.lit(TIME_FORMAT)).cast(stamp_type)
-            ),
-            "dest_station": _value_or(train, "dest", F.lit("")),
-            "platform": _value_or(train, "plat", F.lit("")),
-        }
-    ).withColumn(
-        "reason",
-        F.when(F.col("fault").isNotNull(), F.col("fault"))
-        .when(F.col("time_remaining").isNull(), "bad_wait")
-        .when(F.col("time_remaining") < 0, "negative_wait")
-        .when(F.col("arrival_time").isNull(), "bad_time"),
+    stamp = F.col("fetched_at")
+    stamp_type = envelopes.schema["fetched_at"].dataType
+    docs = _first_trains(envelopes)
+    docs = _both(
+        docs, "clock", lambda d: F.coalesce(F.try_element_at(_of(d, "train"), F.lit("time")), F.lit(""))
+    )
+    docs = _both(
+        docs,
+        "time",
+        lambda d: F.when(_of(d, "clock") == "", stamp).otherwise(
+            F.try_to_timestamp(_of(d, "clock"), F.lit(TIME_FORMAT)).cast(stamp_type)
+        ),
+    )
+    docs = _both(
+        docs,
+        "wait",
+        lambda d: F.try_multiply(
+            _text_or(_of(d, "train"), "ttnt", "0").try_cast("bigint"), F.lit(60).cast("bigint")
+        ),
+    )
+    blank = {
+        "direction": "string",
+        "time_remaining": "bigint",
+        "arrival_time": stamp_type,
+        "dest_station": "string",
+        "platform": "string",
+    }
+    dropped = F.struct(
+        *[F.lit(None).cast(kind).alias(name) for name, kind in blank.items()],
+        F.col("fault").alias("reason"),
+    )
+    kept = F.array(*[_reading(d) for d in network.DIRECTIONS])
+    readings = F.when(F.col("fault").isNull(), kept).otherwise(F.array(dropped))
+    return docs.select("line_code", "station_code", "fetched_at", "payload", F.inline(readings)).filter(
+        F.col("direction").isNotNull() | F.col("reason").isNotNull()
     )
 
 
@@ -148,7 +167,7 @@ def parse_arrivals(envelopes: DataFrame, random_ids: bool = False) -> DataFrame:
     ``arrival_id`` is by default a hash of what identifies the row, so a replay gives the same ids;
     ``random_ids`` gives a fresh UUID per row. ``fetched_at`` is the one "now" of a document.
     """
-    good = _direction_rows(envelopes).filter(F.col("reason").isNull())
+    good = _readings(envelopes).filter(F.col("reason").isNull())
     return with_line_name(
         good.withColumns(
             {
@@ -167,7 +186,7 @@ def rejected(envelopes: DataFrame) -> DataFrame:
     Absent boards and empty directions are not errors and do not appear.
     """
     return (
-        _direction_rows(envelopes)
+        _readings(envelopes)
         .filter(F.col("reason").isNotNull())
         .select("line_code", "station_code", "fetched_at", "direction", "reason", "payload")
     )
