@@ -18,6 +18,7 @@ from headway.operators.quality import run_checks
 from headway.plans.marts import MARTS, build_marts
 from headway.plans.models import stg_arrivals
 from headway.plans.report import build_report
+from headway.session import GIB
 from headway.sources.raw import read_raw
 from headway.sources.schedules import read_schedule_stream
 from headway.streaming.ingest import ONCE, POLL_INTERVAL, ingest_summary, start_ingest
@@ -25,6 +26,7 @@ from headway.streaming.ingest import ONCE, POLL_INTERVAL, ingest_summary, start_
 
 def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="headway", description=__doc__.splitlines()[0])
+    parser.add_argument("--input-gib", type=int, help="rough size of the input, to size shuffles by")
     commands = parser.add_subparsers(dest="command", required=True)
 
     ingest = commands.add_parser("ingest")
@@ -59,7 +61,8 @@ def _split(text: str | None) -> list[str]:
 
 def main(argv: list[str] | None = None) -> int:
     args = _arguments(argv)
-    spark = get_session(f"headway-{args.command}")
+    input_bytes = args.input_gib * GIB if args.input_gib else None
+    spark = get_session(f"headway-{args.command}", input_bytes=input_bytes)
     if args.command == "ingest":
         stream = read_schedule_stream(spark, args.landing, args.max_files)
         arrivals = arrivals_from_schedules(stream, lines=_split(args.lines) or None)

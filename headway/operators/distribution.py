@@ -18,6 +18,7 @@ from headway.session import durable
 
 WAIT = "time_remaining_minutes"
 PERCENTILES = (10, 25, 50, 75, 90, 95, 99)  # fixed values
+PERCENTILE_HEADINGS = {"percentile": "Percentile", "wait_text": "Wait Time (min)"}  # fixed values
 HISTOGRAM_BINS = 50  # fixed value
 WHISKER = 1.5
 RANK_BLOCK = 65_536  # ranks that one row unfolds to

@@ -20,7 +20,18 @@ from headway.operators.distribution import WAIT, value_counts
 from headway.operators.frames import station_frame
 from headway.operators.waits import SIGMAS
 
-TOP_STATIONS = 10  # fixed value
+# ---- fixed values -------------------------------------------------------------------------------
+TOP_STATIONS = 10
+SUMMARY_HEADINGS = {
+    "avg_wait": "Avg Wait (min)",
+    "std_wait": "Std Dev",
+    "var_wait": "Variance",
+    "min_wait": "Min (min)",
+    "max_wait": "Max (min)",
+    "wait_count": "Count",
+    "outliers": "Outliers (±2 SD)",
+}
+# ---- end of fixed values ------------------------------------------------------------------------
 
 
 def overview(df: DataFrame, value: str = WAIT, line: str = "line_name") -> DataFrame:
@@ -111,7 +122,7 @@ def line_summary(
 
 
 def line_ranking(df: DataFrame, value: str = WAIT) -> DataFrame:
-    """The line summary by ascending mean."""
+    """The line summary by ascending mean. ``SUMMARY_HEADINGS`` are its headings as displayed."""
     return line_summary(df, value).orderBy(F.col("avg_wait").asc_nulls_last(), "line_name")
 
 

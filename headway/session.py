@@ -14,15 +14,44 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Keep pre-shuffle splits small enough for a reducer to hold its partition in memory.
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # Durable intermediates go away with the frames that read them.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
-def get_session(app_name: str = "headway", master: str | None = None, **conf) -> SparkSession:
-    """A session with this package's defaults; ``conf`` keys use ``__`` for dots."""
+GIB = 1 << 30
+MAX_SHUFFLE_PARTITIONS = 100_000
+
+
+def sizing(input_bytes: int) -> dict[str, str]:
+    """Settings for a job that reads about this much.
+
+    Adaptive execution merges shuffle partitions but never splits them (other than skewed joins and
+    rebalances), so their initial number has to fit the largest shuffle: about 1 GiB each, which the
+    sorting and aggregating operators here can spill. Large reads take larger splits, since the
+    shuffle has a block for every pair of map and reduce task.
+    """
+    partitions = min(max(-(-input_bytes // GIB), 200), MAX_SHUFFLE_PARTITIONS)
+    split = "128m" if input_bytes < 10_000 * GIB else "1g"
+    return {
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.files.maxPartitionBytes": split,
+    }
+
+
+def get_session(
+    app_name: str = "headway", master: str | None = None, input_bytes: int | None = None, **conf
+) -> SparkSession:
+    """A session with this package's defaults; ``conf`` keys use ``__`` for dots.
+
+    Give ``input_bytes``, a rough size of what the job reads, on a cluster.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**DEFAULTS, **{k.replace("__", "."): v for k, v in conf.items()}}.items():
+    settings = {**DEFAULTS, **(sizing(input_bytes) if input_bytes else {})}
+    settings.update({key.replace("__", "."): value for key, value in conf.items()})
+    for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

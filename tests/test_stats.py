@@ -250,3 +250,13 @@ def test_minutes_skip_missing_columns(spark):
     out = C.with_minutes(df, ["a_seconds", "z_seconds"])
     assert out.columns == ["a_seconds", "b", "a_minutes"]
     assert out.first().a_minutes == 1.5
+
+
+def test_headings(spark):
+    df = frame(spark, MIXED)
+    summary = stats.line_ranking(df).withColumnsRenamed(stats.SUMMARY_HEADINGS)
+    assert summary.columns == [
+        "line_name", "Avg Wait (min)", "Std Dev", "Variance", "Min (min)", "Max (min)", "Count", "Outliers (±2 SD)",
+    ]
+    table = distribution.percentiles(df).withColumnsRenamed(distribution.PERCENTILE_HEADINGS)
+    assert {"Percentile", "Wait Time (min)"} <= set(table.columns)
