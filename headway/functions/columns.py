@@ -10,10 +10,19 @@ from pyspark.sql import functions as F
 from headway import network
 
 
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def text_array(values: Iterable[str]) -> Column:
+    """An array literal of fixed texts."""
+    return F.expr(f"array({', '.join(map(_quoted, values))})")
+
+
 def lookup(key: Column, table: dict[str, str], default: str) -> Column:
     """Value of ``key`` in a small fixed table; unknown and null keys give ``default``."""
-    entries = F.create_map(*[F.lit(x) for pair in table.items() for x in pair])
-    return F.coalesce(F.try_element_at(entries, key), F.lit(default))
+    entries = ", ".join(f"{_quoted(k)}, {_quoted(v)}" for k, v in table.items())
+    return F.coalesce(F.try_element_at(F.expr(f"map({entries})"), key), F.lit(default))
 
 
 def line_color(line_code: Column) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from headway import network
-from headway.functions.columns import lookup
+from headway.functions.columns import lookup, text_array
 
 LINE_CODES = list(network.LINE_NAMES)
 UNKNOWN_CODE = "XXX"
@@ -19,8 +19,7 @@ DELAY_THRESHOLD_SECONDS = 300  # our assumption: no rule for lateness is given a
 
 
 def _line_code() -> Column:
-    codes = F.array(*[F.lit(code) for code in LINE_CODES + [UNKNOWN_CODE]])
-    return F.element_at(codes, (F.col("user_id") % 11 + 1).cast("int"))
+    return F.element_at(text_array(LINE_CODES + [UNKNOWN_CODE]), (F.col("user_id") % 11 + 1).cast("int"))
 
 
 def _station(number: Column) -> Column:
@@ -78,10 +77,10 @@ def envelopes_from_events(events: DataFrame) -> DataFrame:
         *[
             part
             for code in LINE_CODES
-            for part in (F.lit(code), F.array(*[F.lit(s) for s in network.LINE_STATIONS[code]]))
+            for part in (F.lit(code), text_array(network.LINE_STATIONS[code]))
         ]
     )
-    choices = F.coalesce(F.try_element_at(stops, line), F.array(F.lit("ZZZ")))
+    choices = F.coalesce(F.try_element_at(stops, line), text_array(["ZZZ"]))
     station = F.element_at(choices, (F.col("user_id") % F.size(choices) + 1).cast("int"))
     steps = F.floor(F.col("value") / 10).cast("bigint").cast("string")
     clock = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")

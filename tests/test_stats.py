@@ -260,3 +260,10 @@ def test_headings(spark):
     ]
     table = distribution.percentiles(df).withColumnsRenamed(distribution.PERCENTILE_HEADINGS)
     assert {"Percentile", "Wait Time (min)"} <= set(table.columns)
+
+
+def test_lookup_of_awkward_text(spark):
+    table = {"it's": "a 'b'", "back\\slash": "c\\d"}
+    df = spark.createDataFrame([("it's",), ("back\\slash",), ("x",)], "k string")
+    got = [r[0] for r in df.select(C.lookup(F.col("k"), table, "none")).collect()]
+    assert got == ["a 'b'", "c\\d", "none"]
