@@ -64,13 +64,27 @@ def running_counts(df: DataFrame, value: str = WAIT, by: Sequence[str] = ()) ->
     return _running(_ranged_counts(df, value, by), value, by)
 
 
+def _position(q: float, total: Column) -> Column:
+    return F.lit(q) * (total - 1)
+
+
+def _around(counts: DataFrame, qs: Sequence[float]) -> DataFrame:
+    """The few rows of running counts that hold the ends or the positions on either side of ``qs``."""
+    upto, n, total = F.col("upto"), F.col("n"), F.col("total")
+    wanted = (upto == n) | (upto == total)
+    for q in qs:
+        position = _position(q, total)
+        wanted = wanted | ((upto > F.floor(position)) & (upto - n <= F.ceil(position)))
+    return counts.filter(wanted)
+
+
 def _quantile(value: str, q: float) -> Column:
     """Aggregate over running counts: the linearly interpolated quantile."""
-    position = F.lit(q) * (F.col("total") - 1)
+    position = _position(q, F.col("total"))
     low = F.min(F.when(F.col("upto") > F.floor(position), F.col(value)))
     high = F.min(F.when(F.col("upto") > F.ceil(position), F.col(value)))
-    share = F.max(position - F.floor(position))
-    return low + (high - low) * share
+    share = _position(q, F.max("total"))
+    return low + (high - low) * (share - F.floor(share))
 
 
 def percentiles(
@@ -89,8 +103,9 @@ def percentiles(
         rows = df.filter(all_present([*by, value])).groupBy(*by).agg(sketch.alias("found"))
         values = [F.try_element_at("found", F.lit(i + 1)) for i in range(len(ps))]
     else:
-        rows = running_counts(df, value, by).groupBy(*by).agg(
-            *[_quantile(value, p / 100).alias(f"p{i}") for i, p in enumerate(ps)]
+        qs = [p / 100 for p in ps]
+        rows = _around(running_counts(df, value, by), qs).groupBy(*by).agg(
+            *[_quantile(value, q).alias(f"p{i}") for i, q in enumerate(qs)]
         )
         values = [F.col(f"p{i}") for i in range(len(ps))]
     entries = F.array(
@@ -162,7 +177,7 @@ def box_stats(df: DataFrame, by: Sequence[str] = (), value: str = WAIT) -> DataF
     """Box-plot summary per group: ends, quartiles, and whiskers within 1.5 quartile ranges."""
     by = list(by)
     ranged = _ranged_counts(df, value, by)
-    boxes = _running(ranged, value, by).groupBy(*by).agg(
+    boxes = _around(_running(ranged, value, by), [0.25, 0.5, 0.75]).groupBy(*by).agg(
         F.min(value).cast("double").alias("least"),
         _quantile(value, 0.25).alias("q1"),
         _quantile(value, 0.5).alias("median"),
