@@ -42,7 +42,8 @@ def build_marts(
     def publish(df: DataFrame, name: str, partition: str | None = None) -> DataFrame:
         if partition:
             df = df.hint("rebalance", partition)
-        writer = df.write.mode("overwrite")
+        # A rebuild replaces the whole mart, also days that are gone from the input.
+        writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
         if partition:
             writer = writer.partitionBy(partition)
         if out is None:

@@ -11,13 +11,14 @@ SF_DIR = os.environ.get("HEADWAY_SF_DIR", "/root/testdata/sf0.001")
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = get_session(
         "headway-tests",
         master="local[8]",
         spark__sql__shuffle__partitions="8",
         spark__ui__enabled="false",
         spark__driver__memory="6g",
+        spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -57,6 +57,7 @@ def test_row_cap_prunes_days_at_run_time(stored):
     plan = plan_of(df)
     assert "PartitionFilters: [isnotnull(ingestion_date" in plan
     assert "TakeOrderedAndProject(limit=50" in plan
+    assert "ReadSchema: struct<>" in plan  # counting days reads no column
 
 
 def test_hourly_stats_prune_partitions(stored):
@@ -73,3 +74,26 @@ def test_dimensions_of_the_written_fact_do_not_dedup_again(spark, stored, tmp_pa
     assert "PartitionFilters: [isnotnull(ingestion_date" in plan_of(
         built["fact_delays"].filter("ingestion_date >= '2024-01-20'")
     )
+
+
+def test_summaries_do_not_sort_the_hourly_statistics(spark, sf_dir):
+    assert "rangepartitioning" in plan_of(cases.hourly(spark, sf_dir))
+    assert "rangepartitioning" not in plan_of(cases.anomaly_summary(spark, sf_dir))
+
+
+def test_rebuild_drops_days_that_are_gone(spark, stored, tmp_path):
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        marts.build_marts(spark, stored, str(tmp_path))
+        built = marts.build_marts(spark, stored.filter("ingestion_date = '2024-01-15'"), str(tmp_path))
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert built["fact_delays"].select("ingestion_date").distinct().count() == 1
+
+
+def test_statistics_reduce_before_the_shuffle(spark, sf_dir):
+    """Every grouping of raw rows has its partial aggregate below the first exchange."""
+    for name in ("overview", "hourly_line_avg", "station_line_avg", "tile_delay_trend", "check_unique"):
+        plan = plan_of(cases.QUERIES[name](spark, sf_dir))
+        below = plan[plan.rindex("Exchange"):]
+        assert "partial_" in below or "HashAggregate" in below
