@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from headway.functions.columns import all_present, one_decimal_text
-from headway.session import durable
+from headway.session import durable, shuffle_tasks
 
 WAIT = "time_remaining_minutes"
 PERCENTILES = (10, 25, 50, 75, 90, 95, 99)  # fixed values
@@ -144,9 +144,8 @@ def cdf(df: DataFrame, value: str = WAIT) -> DataFrame:
     )
     # A block is a few bytes that unfold to many rows, so the number of tasks is stated: adaptive
     # execution would merge by bytes.
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     last = F.least(F.col("first") + step - 1, F.col("upto"))
-    ranked = blocks.repartition(tasks, value, "first").select(
+    ranked = blocks.repartition(shuffle_tasks(df.sparkSession), value, "first").select(
         value, F.explode(F.sequence("first", last)).alias("rank")
     )
     unranked = df.filter(F.col(value).isNull()).select(value, F.lit(None).cast("bigint").alias("rank"))

@@ -11,9 +11,11 @@ from pyspark.sql import DataFrame
 
 from headway.operators import anomaly, distribution, frames, stats
 from headway.plans.extracts import ROW_LIMIT, hourly_stats, recent_arrivals
+from headway.session import durable
 
 HOURS_BACK = 168  # fixed value
 DAYS_BACK = 7  # fixed value
+COLUMNS = ("date", "hour", "line_name", "station_code", "direction", "time_remaining_minutes")
 
 
 @dataclass
@@ -40,18 +42,23 @@ def build_report(
 ) -> Report:
     """Statistics of the chosen date, lines and hours; by default the last date and all the rest.
 
-    Some twenty statistics read the filtered frame, so it is cached, to disk where memory is short;
-    the choices that have defaults cost one small aggregate.
+    Some twenty statistics read the same few columns. A capped frame is written once, which also
+    fixes the rows taken at its cutoff; an uncapped one is cached after the filters, to disk where
+    memory is short.
     """
-    frame = recent_arrivals(raw, HOURS_BACK, as_of, limit)
+    frame = recent_arrivals(raw, HOURS_BACK, as_of, limit).select(*COLUMNS)
+    if limit is not None:
+        frame = durable(frame)
     defaults = frames.filter_defaults(frame).first()
     if defaults.default_date is None:
         return Report(note="no arrivals in the period")
     chosen_hours = hours or (defaults.min_hour, defaults.max_hour)
     filtered = frames.filter_frame(frame, date or defaults.default_date, lines, chosen_hours)
-    filtered = filtered.persist(StorageLevel.MEMORY_AND_DISK)
+    cached = None
+    if limit is None:
+        filtered = cached = filtered.persist(StorageLevel.MEMORY_AND_DISK)
     if filtered.isEmpty():
-        return Report(note="no arrivals match the filters", cached=filtered)
+        return Report(note="no arrivals match the filters", cached=cached)
     if station is None:
         station = frames.station_list(filtered).first().station_code
     overview = stats.overview(filtered)
@@ -80,4 +87,4 @@ def build_report(
         "anomaly_points": anomaly.anomaly_points(hourly),
         "anomaly_details": anomaly.anomaly_details(hourly),
     }
-    return Report(frames=found, cached=filtered)
+    return Report(frames=found, cached=cached)

@@ -56,6 +56,12 @@ def get_session(
     return builder.getOrCreate()
 
 
+def shuffle_tasks(spark: SparkSession) -> int:
+    """How many partitions a shuffle of this session starts with."""
+    initial = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    return int(initial or spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The checkpoint folder of the session: the configured one, or a temporary one in local mode."""
     context = spark.sparkContext

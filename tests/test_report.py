@@ -12,9 +12,10 @@ from tests.test_streaming import PAIRS, land
 AS_OF = dt.datetime(2024, 1, 30, 12)
 
 
-def test_report_page(spark, sf_dir):
+@pytest.mark.parametrize("limit", [100_000, None])
+def test_report_page(spark, sf_dir, limit):
     rows = cases.raw(spark, sf_dir)
-    page = build_report(rows, as_of=AS_OF)
+    page = build_report(rows, as_of=AS_OF, limit=limit)
     got = {name: df.toPandas() for name, df in page.frames.items()}
     page.close()
     day = rows.filter("ingestion_date = '2024-01-30'")

@@ -40,3 +40,13 @@ def test_sizing():
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     assert (small[key], large[key]) == ("200", "100000")
     assert (small["spark.sql.files.maxPartitionBytes"], large["spark.sql.files.maxPartitionBytes"]) == ("128m", "1g")
+
+
+def test_shuffle_tasks(spark):
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    assert session.shuffle_tasks(spark) == 8
+    spark.conf.set(key, "12")
+    try:
+        assert session.shuffle_tasks(spark) == 12
+    finally:
+        spark.conf.unset(key)
