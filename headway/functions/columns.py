@@ -78,9 +78,13 @@ def thousands_text(value: Column) -> Column:
 
 
 def outside_band(value: Column, mean: Column, std: Column, k: float) -> Column:
-    """True where ``value`` lies strictly outside ``mean ± k·std``; false where undefined."""
+    """True where ``value`` lies strictly outside ``mean ± k·std``; false where undefined.
+
+    Without any deviation all values are equal and none is outside, even if the mean, a rounded
+    quotient, differs from them in the last bit.
+    """
     beyond = (value > mean + k * std) | (value < mean - k * std)
-    return F.coalesce(beyond, F.lit(False))
+    return F.coalesce((std > 0) & beyond, F.lit(False))
 
 
 def all_present(names: Iterable[str]) -> Column:

@@ -81,7 +81,8 @@ def build_report(
         "cdf_steps": distribution.cdf_steps(filtered),
         "percentiles": distribution.percentiles(filtered),
     }
-    hourly = hourly_stats(raw, DAYS_BACK, as_of.date() if as_of else None)
+    # One row per hour and station: little to write, and three readers.
+    hourly = durable(hourly_stats(raw, DAYS_BACK, as_of.date() if as_of else None))
     found |= {
         "anomaly_summary": anomaly.anomaly_summary(hourly),
         "anomaly_points": anomaly.anomaly_points(hourly),

@@ -49,7 +49,7 @@ def test_overview_text(spark):
 
 @pytest.mark.parametrize(
     "values, outliers",
-    [([], 0), ([5.0], 0), ([None], 0), ([1.0] * 20 + [50.0], 1), ([0.0] * 20 + [-9.0, None], 1), ([2.0, 2.0], 0)],
+    [([], 0), ([5.0], 0), ([None], 0), ([1.0] * 20 + [50.0], 1), ([0.0] * 20 + [-9.0, None], 1), ([2.0, 2.0], 0), ([0.1] * 3, 0)],
 )
 def test_outlier_count(spark, values, outliers):
     assert stats.outlier_count(waits(spark, values)).first().outlier_count == outliers
@@ -75,7 +75,7 @@ def test_heatmap(spark):
 
 def test_line_summary_matches_pandas(spark):
     rows = [(line, "S", "UP", 1, v) for line, vs in {
-        "A": [1.0] * 30 + [60.0, -40.0], "B": [0.125, 0.125], "C": [7.0], "D": [None, None], "E": [1.005, None, 3.115],
+        "A": [1.0] * 30 + [60.0, -40.0], "B": [0.125, 0.125], "C": [7.0], "D": [None, None], "E": [1.005, None, 3.115], "F": [0.1] * 3,
     }.items() for v in vs]
     found = as_dict(stats.line_summary(frame(spark, rows)), "line_name")
     pdf = pd.DataFrame([(r[0], r[4]) for r in rows], columns=["line", "v"]).astype({"v": float})
@@ -84,7 +84,7 @@ def test_line_summary_matches_pandas(spark):
         row = found[(line,)]
         got = [row.avg_wait, row.std_wait, row.var_wait, row.min_wait, row.max_wait, row.wait_count]
         assert [np.nan if g is None else g for g in got] == pytest.approx(list(want), nan_ok=True, abs=0)
-    assert {k[0]: r.outliers for k, r in found.items()} == {"A": 2, "B": 0, "C": 0, "D": 0, "E": 0}
+    assert {k[0]: r.outliers for k, r in found.items()} == {"A": 2, "B": 0, "C": 0, "D": 0, "E": 0, "F": 0}
 
 
 def test_line_ranking(spark):
