@@ -158,11 +158,9 @@ def network_restriction_by_line(spark, sf):
 @case(over("arrived", f"SELECT {RAW_LIST} FROM arrived"))
 def ingest_stream(spark, sf):
     """Stream the table's documents through the ingest into a raw table, then read that table."""
-    source = (
-        spark.readStream.schema(table(spark, sf, "events").schema)
-        .option("pathGlobFilter", "events.parquet")
-        .parquet(sf)
-    )
+    schema = table(spark, sf, "events").schema
+    # As a pattern the path may be one file or a folder of files; a stream takes no plain file path.
+    source = spark.readStream.schema(schema).parquet(f"{sf}/events.parque[t]")
     arrivals = ingest.arrivals_from_schedules(zoned(sample.envelopes_from_events(source)))
     path = scratch(spark, "raw")
     start_ingest(arrivals, path, scratch(spark, "offsets"), ONCE).awaitTermination()
