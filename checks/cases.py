@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from checks.tables import DOCUMENTS, hourly_since, over, sql_case, sql_in, sql_list
+from checks.tables import hourly_since, over, sql_case, sql_in, sql_list
 from headway import network
 from headway.functions import columns as C
 from headway.operators import anomaly, distribution, frames, ingest, quality, stats, tiles, waits
