@@ -15,6 +15,7 @@ def components(edges: DataFrame) -> DataFrame:
     picked, and edges within one node go. The first round ranks by id, which settles stars at once; later
     ones by a hash that changes, so that a chain shrinks by a constant factor. Only per-node minima are
     aggregated (with map-side partial sums), so a node with very many neighbours is no single task's work.
+    Joins are by sorting, as no side has a bound that would let the driver collect it.
     """
     edges = durable(edges.filter("a <> b").distinct())
     picks = []
@@ -29,13 +30,13 @@ def components(edges: DataFrame) -> DataFrame:
         picked = durable(lowest.select("node", pick.alias("pick")))
         picks.append(picked)
         a, b = picked.toDF("a", "x"), picked.toDF("b", "y")
-        left = left.join(a, "a").join(b, "b").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+        left = left.join(a.hint("merge"), "a").join(b.hint("merge"), "b").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
         left = durable(left.filter("a <> b").distinct())
     if not picks:
         return edges.select(F.col("a").alias("node"), F.col("a").alias("component"))
     found = picks[0].toDF("node", "label")
     for picked in picks[1:]:
         following = picked.toDF("label", "next")
-        found = found.join(following, "label", "left").select("node", F.coalesce("next", "label").alias("label"))
+        found = found.join(following.hint("merge"), "label", "left").select("node", F.coalesce("next", "label").alias("label"))
     lowest = found.groupBy("label").agg(F.min("node").alias("component"))
-    return found.join(lowest, "label").select("node", "component")
+    return found.join(lowest.hint("merge"), "label").select("node", "component")

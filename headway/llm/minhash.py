@@ -136,18 +136,19 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     b = sets.select(F.col("rep").alias("b"), F.col("shingles").alias("set_b"))
     common = F.size(F.array_intersect("set_a", "set_b"))
     union = F.size("set_a") + F.size("set_b") - common
-    return pairs.join(b, "b").join(a, "a").filter(common * 100 >= union * percent).select("a", "b").distinct()
+    return pairs.join(b.hint("merge"), "b").join(a.hint("merge"), "a").filter(common * 100 >= union * percent).select("a", "b").distinct()
 
 
 def find_links(texts: DataFrame, reps: DataFrame, percent: int) -> DataFrame | None:
     """Verified links among the classes ``reps`` (rep, n, bands), enough to join all that are linked."""
     entries = reps.select("rep", "n", F.explode("bands").alias("bucket"))
     full = entries.groupBy("bucket").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).filter("low <> high")
-    members = durable(entries.join(full.select("bucket"), "bucket").withColumn("component", F.col("rep")))
+    members = durable(entries.join(full.select("bucket").hint("merge"), "bucket").withColumn("component", F.col("rep")))
     if members.isEmpty():
         return None
+    wanted = members.select("rep").distinct().hint("merge")
     sets = durable(
-        texts.join(members.select("rep").distinct(), F.col("doc_id") == F.col("rep"), "left_semi")
+        texts.join(wanted, F.col("doc_id") == F.col("rep"), "left_semi")
         .mapInArrow(set_batches, "rep long, shingles array<long>")
     )
     links, tried, leaders = None, None, 1
@@ -156,20 +157,20 @@ def find_links(texts: DataFrame, reps: DataFrame, percent: int) -> DataFrame | N
         chosen = members.groupBy("bucket", part.alias("part")).agg(
             F.min("rep").alias("leader"), F.min_by("n", "rep").alias("m"), F.min_by("component", "rep").alias("other")
         )
-        met = members.join(chosen, "bucket").filter(F.col("component") != F.col("other"))
+        met = members.join(chosen.hint("merge"), "bucket").filter(F.col("component") != F.col("other"))
         met = met.filter(could_link(F.col("n"), F.col("m"), percent))
         pairs = met.select(F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b")).distinct()
-        pairs = durable(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
+        pairs = durable(pairs if tried is None else pairs.join(tried.hint("merge"), ["a", "b"], "left_anti"))
         tried = pairs if tried is None else tried.union(pairs)
         found = verified(pairs, sets, percent)
         links = durable(found if links is None else links.union(found))
         labels = components(links)
         gone = chosen.select("bucket", F.col("leader").alias("rep"))
-        rest = members.drop("component").join(gone, ["bucket", "rep"], "left_anti")
-        rest = rest.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
+        rest = members.drop("component").join(gone.hint("merge"), ["bucket", "rep"], "left_anti")
+        rest = rest.join(labels.withColumnRenamed("node", "rep").hint("merge"), "rep", "left")
         rest = rest.select("bucket", "rep", "n", F.coalesce("component", "rep").alias("component"))
         mixed = rest.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        members = durable(rest.join(mixed.filter("low <> high").select("bucket"), "bucket"))
+        members = durable(rest.join(mixed.filter("low <> high").select("bucket").hint("merge"), "bucket"))
         if members.isEmpty():
             return links
         leaders *= LEADERS
@@ -181,14 +182,14 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     sketches = durable(texts.mapInArrow(sketch_batches, SKETCH))
     filled = sketches.filter("n_shingles > 0")
     classes = filled.groupBy("digest").agg(F.min("doc_id").alias("rep"))
-    reps = filled.join(classes, "digest").filter("doc_id = rep").select("rep", F.col("n_shingles").alias("n"), "bands")
+    reps = filled.join(classes.hint("merge"), "digest").filter("doc_id = rep").select("rep", F.col("n_shingles").alias("n"), "bands")
     links = find_links(texts, reps, percent)
     named = classes if links is None else classes.join(
-        components(links).withColumnRenamed("node", "rep"), "rep", "left"
+        components(links).withColumnRenamed("node", "rep").hint("merge"), "rep", "left"
     )
     component = F.col("rep") if links is None else F.coalesce("component", "rep")
     named = named.select("digest", component.alias("found"))
-    own = sketches.select("doc_id", "n_shingles", "digest").join(named, "digest", "left")
+    own = sketches.select("doc_id", "n_shingles", "digest").join(named.hint("merge"), "digest", "left")
     own = own.withColumn("component_id", F.when(F.col("n_shingles") > 0, F.col("found")).otherwise(F.col("doc_id")))
     kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull())
     return own.select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
