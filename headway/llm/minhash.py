@@ -6,13 +6,17 @@ second one, read from there on, gives the values of all ``BANDS * ROWS`` signatu
 k takes it shifted by k. Texts that agree in a band are candidates, and a candidate pair is a link if the
 full sets' likeness reaches the threshold.
 
-At likeness 0.85 a pair shares no band with chance (1 - 0.85**4)**24, about 2 in 10**8.
-
-* Texts with equal sets are one class, named by its smallest doc_id; only classes go further.
-* A bucket's pairs are not listed. In each round a few leaders of every bucket (one, then ``LEADERS`` times
-  more each round) meet those members that are not yet in their component. Leaders then leave, since all
-  of their pairs are decided; a bucket is closed when its members are in one component. So copies cost a
-  comparison or two each, and no pair that could join two components is left out.
+At likeness 0.85 a pair shares no band with chance (1 - 0.85**8)**40, about 3 in a million.
+
+* Texts with equal sets are one class, named by its smallest doc_id; only classes go further. Buckets with
+  the same members count once.
+* A bucket's pairs are not listed. In each round some leaders of every bucket (up to ``LEADERS``, then that
+  many times more each round) meet those members that are not yet in their component. Leaders then leave,
+  since all of their pairs are decided; a bucket is closed when its members are in one component. So
+  copies cost few comparisons, and no pair that could join two components is left out.
+* A meeting counts as a pair only if sizes allow a link and so does the number of differing bits in
+  ``BITS``-bit maps of the sets, which is never more than the sets differ: an exact bound that spares most
+  members of a loose family the comparison of their sets.
 * Sets are read from the whole texts again, of the classes in buckets only.
 
 Fewer than five words are one shingle, the whole sequence; without words or text the set is empty and
@@ -37,12 +41,13 @@ from headway.session import durable
 
 WORDS = 5
 CIRCLE = 1 << 20
-ROWS = 4
-BANDS = 24
+ROWS = 8
+BANDS = 40
+BITS = 1024
 PERCENT = 85
 LEADERS = 64
 CHUNK = 1 << 12
-SKETCH = "doc_id long, n_shingles long, digest binary, bands array<long>"
+SKETCH = "doc_id long, n_shingles long, digest binary, bands array<long>, bits array<long>"
 
 
 class Permutations:
@@ -100,6 +105,13 @@ def shingle_sets(column) -> list[np.ndarray]:
     return sets
 
 
+def bit_map(shingles: np.ndarray) -> np.ndarray:
+    """The set as ``BITS`` bits, in 64-bit words."""
+    flags = np.zeros(BITS, np.uint8)
+    flags[(shingles >> np.uint64(32)).astype(np.int64) % BITS] = 1
+    return np.packbits(flags).view(np.int64)
+
+
 def sketch_batches(batches):
     made = Permutations.get()
     for batch in text_slices(batches):
@@ -113,8 +125,9 @@ def sketch_batches(batches):
             pa.array([len(s) for s in sets], pa.int64()),
             pa.array(digests, pa.binary()),
             list_array(bands, offsets, pa.int64()),
+            list_array(np.concatenate([bit_map(s) for s in sets]), np.arange(len(sets) + 1) * (BITS // 64), pa.int64()),
         ]
-        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "digest", "bands"])
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "digest", "bands", "bits"])
 
 
 def set_batches(batches):
@@ -125,9 +138,14 @@ def set_batches(batches):
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), list_array(values, offsets, pa.int64())], ["rep", "shingles"])
 
 
-def could_link(n, m, percent: int):
-    """Whether sets of these sizes can be as alike."""
-    return F.least(n, m) * 100 >= F.greatest(n, m) * percent
+def could_link(n, bits, m, other_bits, percent: int):
+    """Whether sets with these sizes and bit maps can be as alike; sets that link always pass."""
+    differing = sum(
+        (F.bit_count(F.get(bits, F.lit(i)).bitwiseXOR(F.get(other_bits, F.lit(i)))) for i in range(1, BITS // 64)),
+        F.bit_count(F.get(bits, F.lit(0)).bitwiseXOR(F.get(other_bits, F.lit(0)))),
+    )
+    sizes = F.least(n, m) * 100 >= F.greatest(n, m) * percent
+    return sizes & (differing * (100 + percent) <= (n + m) * (100 - percent))
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -139,11 +157,23 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(b.hint("merge"), "b").join(a.hint("merge"), "a").filter(common * 100 >= union * percent).select("a", "b").distinct()
 
 
-def find_links(texts: DataFrame, reps: DataFrame, percent: int) -> DataFrame | None:
-    """Verified links among the classes ``reps`` (rep, n, bands), enough to join all that are linked."""
-    entries = reps.select("rep", "n", F.explode("bands").alias("bucket"))
-    full = entries.groupBy("bucket").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).filter("low <> high")
-    members = durable(entries.join(full.select("bucket").hint("merge"), "bucket").withColumn("component", F.col("rep")))
+def shared_buckets(reps: DataFrame) -> DataFrame:
+    """(bucket, rep) of the buckets with several classes, one bucket of those with the same members."""
+    entries = reps.select("rep", F.explode("bands").alias("bucket"))
+    full = entries.groupBy("bucket").agg(
+        F.min("rep").alias("low"),
+        F.max("rep").alias("high"),
+        F.sum(F.xxhash64(F.lit(1), "rep").bitwiseAND(F.lit((1 << 40) - 1))).alias("sum"),
+        F.bit_xor(F.xxhash64(F.lit(2), "rep")).alias("xor"),
+    )
+    one = full.filter("low <> high").groupBy("low", "high", "sum", "xor").agg(F.min("bucket").alias("bucket"))
+    return entries.join(one.select("bucket").hint("merge"), "bucket")
+
+
+def link_components(texts: DataFrame, reps: DataFrame, percent: int) -> DataFrame | None:
+    """(node, component) over the classes ``reps`` (rep, n, bands, bits) that have links; None without."""
+    facts = reps.select("rep", "n", "bits", F.col("rep").alias("component"))
+    members = durable(shared_buckets(reps).join(facts.hint("merge"), "rep"))
     if members.isEmpty():
         return None
     wanted = members.select("rep").distinct().hint("merge")
@@ -151,28 +181,27 @@ def find_links(texts: DataFrame, reps: DataFrame, percent: int) -> DataFrame | N
         texts.join(wanted, F.col("doc_id") == F.col("rep"), "left_semi")
         .mapInArrow(set_batches, "rep long, shingles array<long>")
     )
-    links, tried, leaders = None, None, 1
+    links, leaders = None, LEADERS
     while True:
         part = F.pmod(F.xxhash64("rep"), F.lit(leaders))
         chosen = members.groupBy("bucket", part.alias("part")).agg(
-            F.min("rep").alias("leader"), F.min_by("n", "rep").alias("m"), F.min_by("component", "rep").alias("other")
+            F.min("rep").alias("leader"),
+            F.min_by(F.struct("n", "bits", "component"), "rep").alias("of"),
         )
-        met = members.join(chosen.hint("merge"), "bucket").filter(F.col("component") != F.col("other"))
-        met = met.filter(could_link(F.col("n"), F.col("m"), percent))
+        near = could_link(F.col("n"), F.col("bits"), F.col("of.n"), F.col("of.bits"), percent)
+        met = members.join(chosen.hint("merge"), "bucket").filter((F.col("component") != F.col("of.component")) & near)
         pairs = met.select(F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b")).distinct()
-        pairs = durable(pairs if tried is None else pairs.join(tried.hint("merge"), ["a", "b"], "left_anti"))
-        tried = pairs if tried is None else tried.union(pairs)
         found = verified(pairs, sets, percent)
         links = durable(found if links is None else links.union(found))
-        labels = components(links)
+        labels = durable(components(links))
         gone = chosen.select("bucket", F.col("leader").alias("rep"))
         rest = members.drop("component").join(gone.hint("merge"), ["bucket", "rep"], "left_anti")
         rest = rest.join(labels.withColumnRenamed("node", "rep").hint("merge"), "rep", "left")
-        rest = rest.select("bucket", "rep", "n", F.coalesce("component", "rep").alias("component"))
+        rest = rest.withColumn("component", F.coalesce("component", "rep"))
         mixed = rest.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
         members = durable(rest.join(mixed.filter("low <> high").select("bucket").hint("merge"), "bucket"))
         if members.isEmpty():
-            return links
+            return labels
         leaders *= LEADERS
 
 
@@ -182,12 +211,13 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     sketches = durable(texts.mapInArrow(sketch_batches, SKETCH))
     filled = sketches.filter("n_shingles > 0")
     classes = filled.groupBy("digest").agg(F.min("doc_id").alias("rep"))
-    reps = filled.join(classes.hint("merge"), "digest").filter("doc_id = rep").select("rep", F.col("n_shingles").alias("n"), "bands")
-    links = find_links(texts, reps, percent)
-    named = classes if links is None else classes.join(
-        components(links).withColumnRenamed("node", "rep").hint("merge"), "rep", "left"
-    )
-    component = F.col("rep") if links is None else F.coalesce("component", "rep")
+    reps = filled.join(classes.hint("merge"), "digest").filter("doc_id = rep")
+    labels = link_components(texts, reps.select("rep", F.col("n_shingles").alias("n"), "bands", "bits"), percent)
+    if labels is None:
+        named, component = classes, F.col("rep")
+    else:
+        named = classes.join(labels.withColumnRenamed("node", "rep").hint("merge"), "rep", "left")
+        component = F.coalesce("component", "rep")
     named = named.select("digest", component.alias("found"))
     own = sketches.select("doc_id", "n_shingles", "digest").join(named.hint("merge"), "digest", "left")
     own = own.withColumn("component_id", F.when(F.col("n_shingles") > 0, F.col("found")).otherwise(F.col("doc_id")))
