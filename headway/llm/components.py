@@ -7,6 +7,18 @@ from pyspark.sql import functions as F
 
 from headway.session import durable
 
+ROWS_PER_TASK = 50_000
+
+
+def compact(df: DataFrame) -> tuple[DataFrame, int]:
+    """``df`` from durable files, in no more partitions than its rows ask for, and the number of rows.
+
+    Loops go on with frames that get small; their next shuffles then have few map tasks.
+    """
+    kept = durable(df)
+    count = kept.count()
+    return kept.coalesce(max(1, -(-count // ROWS_PER_TASK))), count
+
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of the edges (a, b); the component is its smallest node.
@@ -17,21 +29,21 @@ def components(edges: DataFrame) -> DataFrame:
     aggregated (with map-side partial sums), so a node with very many neighbours is no single task's work.
     Joins are by sorting, as no side has a bound that would let the driver collect it.
     """
-    edges = durable(edges.filter("a <> b").distinct())
+    edges, count = compact(edges.filter("a <> b").distinct())
     picks = []
     left = edges
-    while not left.isEmpty():
+    while count:
         both = left.union(left.select("b", "a")).toDF("node", "other")
         rank = (lambda c: F.col(c)) if not picks else (lambda c, k=len(picks): F.xxhash64(F.lit(k), c))  # noqa: B023
         lowest = both.groupBy("node").agg(
             F.min_by("other", rank("other")).alias("other"), F.min(rank("other")).alias("rank")
         )
         pick = F.when(F.col("rank") < rank("node"), F.col("other")).otherwise(F.col("node"))
-        picked = durable(lowest.select("node", pick.alias("pick")))
+        picked, _ = compact(lowest.select("node", pick.alias("pick")))
         picks.append(picked)
         a, b = picked.toDF("a", "x"), picked.toDF("b", "y")
         left = left.join(a.hint("merge"), "a").join(b.hint("merge"), "b").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-        left = durable(left.filter("a <> b").distinct())
+        left, count = compact(left.filter("a <> b").distinct())
     if not picks:
         return edges.select(F.col("a").alias("node"), F.col("a").alias("component"))
     found = picks[0].toDF("node", "label")

@@ -10,8 +10,8 @@ At likeness 0.85 a pair shares no band with chance (1 - 0.85**8)**40, about 3 in
 
 * Texts with equal sets are one class, named by its smallest doc_id; only classes go further. Buckets with
   the same members count once.
-* A bucket's pairs are not listed. In each round some leaders of every bucket (up to ``LEADERS``, then that
-  many times more each round) meet those members that are not yet in their component. Leaders then leave,
+* A bucket's pairs are not listed. In each round some leaders of every bucket (up to ``LEADERS``, then
+  ``MORE_LEADERS`` times as many each round) meet those members that are not yet in their component. Leaders then leave,
   since all of their pairs are decided; a bucket is closed when its members are in one component. So
   copies cost few comparisons, and no pair that could join two components is left out.
 * A meeting counts as a pair only if sizes allow a link and so does the number of differing bits in
@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from headway.llm.arrow import flat_bytes, list_array, text_slices
-from headway.llm.components import components
+from headway.llm.components import compact, components
 from headway.llm.hashing import LOWER, SPACE, mix, prefix_sums, span_hashes, word_spans
 from headway.session import durable
 
@@ -45,7 +45,8 @@ ROWS = 8
 BANDS = 40
 BITS = 1024
 PERCENT = 85
-LEADERS = 64
+LEADERS = 4
+MORE_LEADERS = 64
 CHUNK = 1 << 12
 SKETCH = "doc_id long, n_shingles long, digest binary, bands array<long>, bits array<long>"
 
@@ -173,8 +174,8 @@ def shared_buckets(reps: DataFrame) -> DataFrame:
 def link_components(texts: DataFrame, reps: DataFrame, percent: int) -> DataFrame | None:
     """(node, component) over the classes ``reps`` (rep, n, bands, bits) that have links; None without."""
     facts = reps.select("rep", "n", "bits", F.col("rep").alias("component"))
-    members = durable(shared_buckets(reps).join(facts.hint("merge"), "rep"))
-    if members.isEmpty():
+    members, count = compact(shared_buckets(reps).join(facts.hint("merge"), "rep"))
+    if not count:
         return None
     wanted = members.select("rep").distinct().hint("merge")
     sets = durable(
@@ -192,17 +193,17 @@ def link_components(texts: DataFrame, reps: DataFrame, percent: int) -> DataFram
         met = members.join(chosen.hint("merge"), "bucket").filter((F.col("component") != F.col("of.component")) & near)
         pairs = met.select(F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b")).distinct()
         found = verified(pairs, sets, percent)
-        links = durable(found if links is None else links.union(found))
-        labels = durable(components(links))
+        links, _ = compact(found if links is None else links.union(found))
+        labels, _ = compact(components(links))
         gone = chosen.select("bucket", F.col("leader").alias("rep"))
         rest = members.drop("component").join(gone.hint("merge"), ["bucket", "rep"], "left_anti")
         rest = rest.join(labels.withColumnRenamed("node", "rep").hint("merge"), "rep", "left")
         rest = rest.withColumn("component", F.coalesce("component", "rep"))
         mixed = rest.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        members = durable(rest.join(mixed.filter("low <> high").select("bucket").hint("merge"), "bucket"))
-        if members.isEmpty():
+        members, count = compact(rest.join(mixed.filter("low <> high").select("bucket").hint("merge"), "bucket"))
+        if not count:
             return labels
-        leaders *= LEADERS
+        leaders *= MORE_LEADERS
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
