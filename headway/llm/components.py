@@ -10,26 +10,28 @@ from headway.session import durable
 ROWS_PER_TASK = 50_000
 
 
-def compact(df: DataFrame) -> tuple[DataFrame, int]:
+def compact(df: DataFrame, most: int | None = None) -> tuple[DataFrame, int]:
     """``df`` from durable files, in no more partitions than its rows ask for, and the number of rows.
 
-    Loops go on with frames that get small; their next shuffles then have few map tasks.
+    Loops go on with frames that get small; their next shuffles then have few map tasks. With ``most``, a
+    bound of the rows, they are not counted.
     """
     kept = durable(df)
-    count = kept.count()
+    count = kept.count() if most is None else most
     return kept.coalesce(max(1, -(-count // ROWS_PER_TASK))), count
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, count: int) -> DataFrame:
     """(node, component) for every node of the edges (a, b); the component is its smallest node.
 
+    ``edges``: ``count`` distinct pairs a < b that can be read again and again.
+
     Each round, every node picks the lowest of itself and its neighbours, nodes are replaced by what they
     picked, and edges within one node go. The first round ranks by id, which settles stars at once; later
     ones by a hash that changes, so that a chain shrinks by a constant factor. Only per-node minima are
     aggregated (with map-side partial sums), so a node with very many neighbours is no single task's work.
     Joins are by sorting, as no side has a bound that would let the driver collect it.
     """
-    edges, count = compact(edges.filter("a <> b").distinct())
     picks = []
     left = edges
     while count:
@@ -39,7 +41,7 @@ def components(edges: DataFrame) -> DataFrame:
             F.min_by("other", rank("other")).alias("other"), F.min(rank("other")).alias("rank")
         )
         pick = F.when(F.col("rank") < rank("node"), F.col("other")).otherwise(F.col("node"))
-        picked, _ = compact(lowest.select("node", pick.alias("pick")))
+        picked, _ = compact(lowest.select("node", pick.alias("pick")), 2 * count)
         picks.append(picked)
         a, b = picked.toDF("a", "x"), picked.toDF("b", "y")
         left = left.join(a.hint("merge"), "a").join(b.hint("merge"), "b").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))

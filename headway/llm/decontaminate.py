@@ -99,7 +99,7 @@ class ItemBlock:
             for a, b in zip(starts, ends):
                 self.grams[self.cell(gram_hashes(flat[a:b], GRAM))] = True
             steps = 2 * least
-            bits = rng.integers(0, 2, (WALKS, steps, 256), dtype=np.int64)
+            bits = rng.integers(0, 2, (WALKS, steps, 256), dtype=np.uint8)
             places = [sorted(rng.choice(steps, BITS, replace=False).tolist()) for _ in range(self.tables)]
             one = {
                 "width": most + int(edits * most),

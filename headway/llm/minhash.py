@@ -46,7 +46,7 @@ BANDS = 40
 BITS = 1024
 PERCENT = 85
 LEADERS = 4
-MORE_LEADERS = 64
+MORE_LEADERS = 1024
 CHUNK = 1 << 12
 SKETCH = "doc_id long, n_shingles long, digest binary, bands array<long>, bits array<long>"
 
@@ -193,8 +193,8 @@ def link_components(texts: DataFrame, reps: DataFrame, percent: int) -> DataFram
         met = members.join(chosen.hint("merge"), "bucket").filter((F.col("component") != F.col("of.component")) & near)
         pairs = met.select(F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b")).distinct()
         found = verified(pairs, sets, percent)
-        links, _ = compact(found if links is None else links.union(found))
-        labels, _ = compact(components(links))
+        links, count = compact(found if links is None else links.union(found).distinct())
+        labels, _ = compact(components(links, count), 2 * count)
         gone = chosen.select("bucket", F.col("leader").alias("rep"))
         rest = members.drop("component").join(gone.hint("merge"), ["bucket", "rep"], "left_anti")
         rest = rest.join(labels.withColumnRenamed("node", "rep").hint("merge"), "rep", "left")

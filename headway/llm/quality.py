@@ -19,6 +19,8 @@ table gives an empty one.
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -136,12 +138,12 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_
     # The broadcast side is a limited sample: at most ``sample_rows`` pairs of numbers.
     joined = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "text")
     found = joined.drop("doc_id").mapInArrow(counted_features, "label int, buckets array<int>, counts array<int>")
-    arrow = found.toArrow()
     rows = []
-    for batch in arrow.to_batches():
+    for batch in found.toArrow().to_batches():
         for label, buckets, counts in zip(*(batch.column(i) for i in range(3))):
             rows.append((label.as_py(), buckets.values.to_numpy(), counts.values.to_numpy()))
-    rows.sort(key=lambda r: (r[0], len(r[1]), r[1].tobytes(), r[2].tobytes()))
+    # A fixed order, whatever order the tasks ended in; equal rows are interchangeable.
+    rows.sort(key=lambda r: (r[0], len(r[1]), zlib.crc32(r[1]), zlib.crc32(r[2])))
     return rows
 
 
