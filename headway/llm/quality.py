@@ -7,8 +7,7 @@ there), a mark for every word that equals the one before it, and an end mark tha
 trained by stochastic gradient descent in numpy, one document at a time, with a falling rate.
 
 Training takes at most ``SAMPLE_ROWS`` labelled documents, those with the smallest hash of their id, with
-their whole texts; they come to the driver as counted features (no text), so its need is bounded by the
-sample. Scoring reads every whole text: since the model is linear after the lookup, a feature's share in
+their whole texts; they come to one task as counted features (no text), whose need the sample bounds. Scoring reads every whole text: since the model is linear after the lookup, a feature's share in
 the score is one number, and tasks carry a table of ``BUCKETS`` numbers.
 
 Null and empty texts have only the end mark and get the score learned for it. Several label rows of one
@@ -124,8 +123,8 @@ def held_out(doc_id):
     return F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> list:
-    """(label, buckets, counts) of the sample, in the order of the ids' hashes."""
+def training_sample(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+    """(label, buckets, counts) of the sample."""
     chosen = (
         labels.select(labels["doc_id"].cast("long").alias("doc_id"), labels["quality"].cast("int").alias("label"))
         .filter(F.col("label").isin(0, 1) & ~held_out(F.col("doc_id")))
@@ -136,21 +135,35 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_
     )
     texts = docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text")
     # The broadcast side is a limited sample: at most ``sample_rows`` pairs of numbers.
-    joined = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "text")
-    found = joined.drop("doc_id").mapInArrow(counted_features, "label int, buckets array<int>, counts array<int>")
+    joined = texts.join(F.broadcast(chosen), "doc_id").select("label", "text")
+    return joined.mapInArrow(counted_features, "label int, buckets array<int>, counts array<int>")
+
+
+def train_batches(batches):
+    """All rows of the sample to one row with the model's bytes."""
     rows = []
-    for batch in found.toArrow().to_batches():
+    for batch in batches:
         for label, buckets, counts in zip(*(batch.column(i) for i in range(3))):
             rows.append((label.as_py(), buckets.values.to_numpy(), counts.values.to_numpy()))
     # A fixed order, whatever order the tasks ended in; equal rows are interchangeable.
     rows.sort(key=lambda r: (r[0], len(r[1]), zlib.crc32(r[1]), zlib.crc32(r[2])))
-    return rows
+    if rows:
+        model = train(rows)
+        packed = [pa.array([x.tobytes()], pa.binary()) for x in (model.vectors, model.output)]
+        yield pa.RecordBatch.from_arrays(packed, ["vectors", "output"])
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Embeddings | None:
-    """The model of the labelled documents that are not held out; None without any."""
-    rows = training_rows(docs, labels, sample_rows)
-    return train(rows) if rows else None
+    """The model of the labelled documents that are not held out; None without any.
+
+    One task trains on the sample; the driver gets the weights alone.
+    """
+    sample = training_sample(docs, labels, sample_rows).repartition(1)
+    found = sample.mapInArrow(train_batches, "vectors binary, output binary").first()
+    if found is None:
+        return None
+    vectors, output = (np.frombuffer(x, np.float32) for x in found)
+    return Embeddings(vectors.reshape(BUCKETS, DIMENSIONS), output.reshape(DIMENSIONS, 2))
 
 
 def scorer(model: Embeddings | None, spark):
