@@ -23,9 +23,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Aligned common blocks go from later documents; documents of which nothing is left go too."""
-    shortened = lines.dedup_lines(docs)
-    emptied = F.col("lines_removed").isNotNull() & (lines.bare(F.translate("text", "\n", "")) == "")
-    return shortened.filter(~emptied).drop("lines_removed", "partners").withColumn("n_chars", F.length("text"))
+    shortened = lines.dedup_lines(docs, counts=False, keep_emptied=False)
+    return shortened.withColumn("n_chars", F.length("text").cast("long"))
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

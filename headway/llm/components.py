@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from headway.session import durable
@@ -14,10 +14,12 @@ def compact(df: DataFrame, most: int | None = None) -> tuple[DataFrame, int]:
     """``df`` from durable files, in no more partitions than its rows ask for, and the number of rows.
 
     Loops go on with frames that get small; their next shuffles then have few map tasks. With ``most``, a
-    bound of the rows, they are not counted.
+    bound of the rows, the partitions are merged before the files are written.
     """
-    kept = durable(df)
-    count = kept.count() if most is None else most
+    seen = Observation()
+    df = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    kept = durable(df if most is None else df.coalesce(max(1, -(-most // ROWS_PER_TASK))))
+    count = seen.get["rows"]
     return kept.coalesce(max(1, -(-count // ROWS_PER_TASK))), count
 
 
@@ -45,7 +47,7 @@ def components(edges: DataFrame, count: int) -> DataFrame:
         picks.append(picked)
         a, b = picked.toDF("a", "x"), picked.toDF("b", "y")
         left = left.join(a.hint("merge"), "a").join(b.hint("merge"), "b").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-        left, count = compact(left.filter("a <> b").distinct())
+        left, count = compact(left.filter("a <> b").distinct(), count)
     if not picks:
         return edges.select(F.col("a").alias("node"), F.col("a").alias("component"))
     found = picks[0].toDF("node", "label")

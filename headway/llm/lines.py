@@ -156,10 +156,12 @@ def removed_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     )
 
 
-def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """The rows of ``docs`` with ``text`` shortened, and columns ``lines_removed`` and ``partners`` after them.
+def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, counts: bool = True, keep_emptied: bool = True) -> DataFrame:
+    """The rows of ``docs`` with ``text`` shortened.
 
-    Rows that lose nothing have null there.
+    With ``counts``, columns ``lines_removed`` and ``partners`` follow, null for rows that lose nothing
+    (columns of these names in ``docs`` go). Without ``keep_emptied``, rows go that had lines deleted and
+    have nothing but white space left.
     """
     gone = removed_lines(docs, min_chars).withColumnsRenamed(
         {"doc_id": "_gone_id", "tie": "_gone_tie", "removed": "_gone", "partners": "_partners"}
@@ -169,8 +171,9 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     lines = lines_of(docs["text"])
     places = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone["_gone"])
     kept = F.array_join(F.transform(places, lambda i: F.element_at(lines, i + 1)), "\n")
+    if not keep_emptied:
+        joined = joined.filter(gone["_gone"].isNull() | (F.btrim(kept, F.lit(" \t\r\n")) != ""))
     text = F.when(gone["_gone"].isNull(), docs["text"]).otherwise(kept)
-    columns = [text.alias("text") if c == "text" else docs[c] for c in docs.columns]
-    return joined.select(
-        *columns, F.size(gone["_gone"]).alias("lines_removed"), gone["_partners"].alias("partners")
-    )
+    added = [F.size(gone["_gone"]).alias("lines_removed"), gone["_partners"].alias("partners")] if counts else []
+    own = [c for c in docs.columns if not (counts and c in ("lines_removed", "partners"))]
+    return joined.select(*(text.alias("text") if c == "text" else docs[c] for c in own), *added)

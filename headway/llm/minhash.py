@@ -141,10 +141,8 @@ def set_batches(batches):
 
 def could_link(n, bits, m, other_bits, percent: int):
     """Whether sets with these sizes and bit maps can be as alike; sets that link always pass."""
-    differing = sum(
-        (F.bit_count(F.get(bits, F.lit(i)).bitwiseXOR(F.get(other_bits, F.lit(i)))) for i in range(1, BITS // 64)),
-        F.bit_count(F.get(bits, F.lit(0)).bitwiseXOR(F.get(other_bits, F.lit(0)))),
-    )
+    words = F.zip_with(bits, other_bits, lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    differing = F.aggregate(words, F.lit(0), lambda total, x: total + x)
     sizes = F.least(n, m) * 100 >= F.greatest(n, m) * percent
     return sizes & (differing * (100 + percent) <= (n + m) * (100 - percent))
 
@@ -174,8 +172,8 @@ def shared_buckets(reps: DataFrame) -> DataFrame:
 def link_components(texts: DataFrame, reps: DataFrame, percent: int) -> DataFrame | None:
     """(node, component) over the classes ``reps`` (rep, n, bands, bits) that have links; None without."""
     facts = reps.select("rep", "n", "bits", F.col("rep").alias("component"))
-    members, count = compact(shared_buckets(reps).join(facts.hint("merge"), "rep"))
-    if not count:
+    members, size = compact(shared_buckets(reps).join(facts.hint("merge"), "rep"))
+    if not size:
         return None
     wanted = members.select("rep").distinct().hint("merge")
     sets = durable(
@@ -200,8 +198,9 @@ def link_components(texts: DataFrame, reps: DataFrame, percent: int) -> DataFram
         rest = rest.join(labels.withColumnRenamed("node", "rep").hint("merge"), "rep", "left")
         rest = rest.withColumn("component", F.coalesce("component", "rep"))
         mixed = rest.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        members, count = compact(rest.join(mixed.filter("low <> high").select("bucket").hint("merge"), "bucket"))
-        if not count:
+        rest = rest.join(mixed.filter("low <> high").select("bucket").hint("merge"), "bucket")
+        members, size = compact(rest, size)
+        if not size:
             return labels
         leaders *= MORE_LEADERS
 

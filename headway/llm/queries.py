@@ -127,7 +127,7 @@ def op8_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     shortened = lines.dedup_lines(docs)
     return shortened.select(
         "doc_id",
-        F.coalesce("lines_removed", F.lit(0)).cast("long").alias("n_removed"),
+        F.greatest(F.coalesce("lines_removed", F.lit(0)), F.lit(0)).cast("long").alias("n_removed"),
         F.coalesce("partners", F.lit(0)).cast("long").alias("n_partners"),
         F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"),
     )
