@@ -57,9 +57,9 @@ def staging(spark, sf, **kind) -> DataFrame:
     return models.stg_arrivals(raw(spark, sf, **kind), extra=["event_id"], tie_break=TIE_BREAK)
 
 
-def frame(spark, sf) -> DataFrame:
+def frame(spark, sf, **kind) -> DataFrame:
     """The analysis frame over every row of the table."""
-    return extracts.recent_arrivals(raw(spark, sf), hours_back=0, limit=None)
+    return extracts.recent_arrivals(raw(spark, sf, **kind), hours_back=None)
 
 
 def hourly(spark, sf, **kind) -> DataFrame:
@@ -286,7 +286,7 @@ def published_marts(spark, sf):
 RECENT = f"ingestion_timestamp >= TIMESTAMP '{AS_OF}' - INTERVAL 168 HOUR"
 
 
-@case(over("frame", f"SELECT {FRAME_LIST} FROM frame WHERE {RECENT} ORDER BY ingestion_timestamp DESC LIMIT 100000"))
+@case(over("frame", f"SELECT {FRAME_LIST} FROM frame WHERE {RECENT}"))
 def recent_arrivals(spark, sf):
     return rounded(extracts.recent_arrivals(raw(spark, sf), hours_back=168, as_of=AS_OF))
 
@@ -644,10 +644,48 @@ def _checks_sql() -> str:
     return "\nUNION ALL\n".join(rows)
 
 
+@case(over("fact", _checks_sql(), gaps=True), name="run_checks_gaps")
+def _run_checks_gaps(spark, sf):
+    """The same where values are missing: not_null, unique and accepted_values all find failures."""
+    return run_checks(spark, sf, gaps=True)
+
+
+# Whole numbers that may be missing are compared as text: a frame in pandas would make them doubles.
+_NULLABLE = ["hour", "min_wait_seconds", "max_wait_seconds"]
+_AS_TEXT = "* REPLACE (" + names(f"CAST({c} AS VARCHAR) AS {c}" for c in _NULLABLE) + ")"
+
+
+def as_text(df: DataFrame) -> DataFrame:
+    return df.withColumns({c: F.col(c).cast("string") for c in _NULLABLE})
+
+
+@case(over("fact", f"SELECT {_AS_TEXT} FROM ({FACT_SQL})", gaps=True))
+def fact_delays_gaps(spark, sf):
+    return as_text(rounded(models.fact_delays(staging(spark, sf, gaps=True))))
+
+
+@case(over("flagged", f"SELECT {_AS_TEXT} FROM (SELECT {HOURLY_LIST}, is_anomaly, anomaly_type FROM flagged)", signed=True, gaps=True))
+def flag_anomalies_gaps(spark, sf):
+    flagged = anomaly.flag_anomalies(hourly(spark, sf, signed=True, gaps=True))
+    return as_text(rounded(flagged.drop(*[c for c in flagged.columns if c.endswith("_minutes")])))
+
+
+@case(over("frame", _cdf_steps_sql("frame", MIN), gaps=True))
+def cdf_steps_gaps(spark, sf):
+    return rounded(distribution.cdf_steps(frame(spark, sf, gaps=True)), 9)
+
+
+@case(over("frame", f"""SELECT format('{{:,}}', total_arrivals) AS total_arrivals, active_lines,
+                               printf('%.1f min', avg_wait) AS avg_wait, printf('%.1f min', std_wait) AS std_wait
+                        FROM ({OVERVIEW_SQL})""", gaps=True))
+def overview_text_gaps(spark, sf):
+    return stats.overview_text(stats.overview(frame(spark, sf, gaps=True)))
+
+
 @case(over("fact", _checks_sql()))
-def run_checks(spark, sf):
+def run_checks(spark, sf, **kind):
     """All declared checks, on the staging view and the written marts."""
-    rows = raw(spark, sf, extended=True)
+    rows = raw(spark, sf, extended=True, **kind)
     built = marts.build_marts(
         spark, rows, scratch(spark, "marts"), extra=["event_id"], tie_break=TIE_BREAK
     )

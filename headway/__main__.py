@@ -2,13 +2,14 @@
 
     ingest  landed schedule documents into the raw table, once or continuously
     marts   rebuild the mart tables from the raw table
-    check   run the data-quality checks; exit status 1 if any row fails
-    report  print one page of statistics
+    check   run the data-quality checks; exit status 1 if any row fails, 2 if a check could not be run
+    report  one page of statistics, printed whole or written to a folder
 """
 
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 import json
 import sys
 
@@ -17,11 +18,11 @@ from headway.operators.ingest import arrivals_from_schedules
 from headway.operators.quality import run_checks
 from headway.plans.marts import MARTS, build_marts
 from headway.plans.models import stg_arrivals
-from headway.plans.report import build_report
+from headway.plans.report import DAYS_BACK, HOURS_BACK, build_report
 from headway.session import GIB
 from headway.sources.raw import read_raw
 from headway.sources.schedules import read_schedule_stream
-from headway.streaming.ingest import ONCE, POLL_INTERVAL, ingest_summary, start_ingest
+from headway.streaming.ingest import ONCE, POLL_INTERVAL, follow_ingest, start_ingest
 
 
 def _arguments(argv: list[str] | None) -> argparse.Namespace:
@@ -52,6 +53,11 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     report.add_argument("--lines", help="comma-separated line names")
     report.add_argument("--hours", help="first-last, such as 7-10")
     report.add_argument("--station")
+    report.add_argument("--hours-back", type=int, default=HOURS_BACK, help="rows of the last hours; 0 for all")
+    report.add_argument("--days-back", type=int, default=DAYS_BACK, help="anomalies of the last days; 9999 for all")
+    report.add_argument("--as-of", type=dt.datetime.fromisoformat, help="the time to count back from, UTC; default now")
+    report.add_argument("--limit", type=int, help="newest rows only; default all")
+    report.add_argument("--out", help="folder for one parquet table a statistic, instead of printing")
     return parser.parse_args(argv)
 
 
@@ -68,9 +74,9 @@ def main(argv: list[str] | None = None) -> int:
         arrivals = arrivals_from_schedules(stream, lines=_split(args.lines) or None)
         trigger = args.interval if args.continuous else ONCE
         query = start_ingest(arrivals, args.raw, args.checkpoint, trigger)
-        query.awaitTermination()
-        print(json.dumps(ingest_summary(query)))
-        return 0
+        summary = follow_ingest(query)
+        print(json.dumps(summary))
+        return 0 if summary["status"] == "success" else 1
     raw = read_raw(spark, *args.raw)
     if args.command == "marts":
         for name, df in build_marts(spark, raw, args.out).items():
@@ -80,15 +86,23 @@ def main(argv: list[str] | None = None) -> int:
         models = {name: spark.read.parquet(f"{args.marts}/{name}") for name in MARTS}
         results = run_checks({"stg_arrivals": stg_arrivals(raw), **models}).collect()
         for row in results:
-            print(f"{row.model}.{row['column']} {row.test}: {row.failures if row.failures is not None else 'no such column'}")
-        return 1 if any(row.failures for row in results) else 0
+            print(f"{row.model}.{row['column']} {row.test}: {'not run' if row.failures is None else row.failures}")
+        if any(row.failures for row in results):
+            return 1
+        return 2 if any(row.failures is None for row in results) else 0
     hours = tuple(map(int, args.hours.split("-"))) if args.hours else None
-    page = build_report(raw, args.date, _split(args.lines), hours, args.station)
+    page = build_report(
+        raw, args.date, _split(args.lines), hours, args.station, args.as_of, args.limit, args.hours_back, args.days_back
+    )
     if page.note:
         print(page.note)
     for name, df in page.frames.items():
-        print(name)
-        df.show(50, truncate=False)
+        if args.out:
+            df.write.mode("overwrite").parquet(f"{args.out}/{name}")
+            continue
+        print(name, *df.columns, sep="\t")
+        for row in df.toLocalIterator():
+            print(*row, sep="\t")
     page.close()
     return 0
 

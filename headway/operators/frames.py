@@ -62,26 +62,33 @@ def station_frame(df: DataFrame, station: str) -> DataFrame:
     return df.filter(F.col("station_code") == station)
 
 
-def newest(df: DataFrame, n: int, time: str, day: str) -> DataFrame:
+def newest(df: DataFrame, n: int, time: str, day: str, tie: str = "arrival_id") -> DataFrame:
     """The ``n`` newest rows by ``time``; ``day`` is the date of ``time``, best a partition column.
 
+    The order is total: rows of one time come by a hash of ``tie``, then by ``tie``.
+
     A plain sort-and-limit keeps ``n`` rows of every input task and merges them all in one task. So
     first find the time of the ``n``-th newest row, from row counts per day, then per second of the
     days left, then per time within the second. Counting days reads no column data, and the day bound
-    prunes partitions at run time. Fewer than ``n`` rows are newer than that time; of the rows right
-    at it, which may be any number, as many as needed are taken at will. ``time`` must not be null.
+    prunes partitions at run time. Fewer than ``n`` rows are newer than that time; the rows right at
+    it, which may be any number, are cut in the same way by the top bits of the hash, so that a whole
+    batch stamped with one time does not meet in one task. ``time`` must not be null.
     """
 
-    def reach(frame: DataFrame, unit: str) -> Column:
+    def reach(frame: DataFrame, unit: str, rising: bool = False) -> Column:
         counts = frame.groupBy(unit).agg(F.count(F.lit(1)).alias("n"))
-        # One row per day, second or microsecond of a second: bounded whatever the volume.
-        counts = counts.selectExpr(unit, f"sum(n) over (order by {unit} desc) - n as newer")
-        return counts.filter(F.col("newer") < n).agg(F.min(unit)).scalar()
+        # One row per day, second, microsecond of a second or slot: bounded whatever the volume.
+        order = "asc" if rising else "desc"
+        counts = counts.selectExpr(unit, f"sum(n) over (order by {unit} {order}) - n as before")
+        last = F.max(unit) if rising else F.min(unit)
+        return counts.filter(F.col("before") < n).agg(last).scalar()
 
     recent = df.filter(F.col(day) >= reach(df, day))
     second = F.date_trunc("second", time).cast(df.schema[time].dataType)
     since = reach(recent.select(second.alias("second")), "second")
     cutoff = reach(recent.filter(F.col(time) >= since).select(time), time)
     newer = recent.filter(F.col(time) > cutoff)
-    level = recent.filter(F.col(time) == cutoff).limit(n)
-    return newer.union(level).orderBy(F.col(time).desc()).limit(n)
+    level = recent.filter(F.col(time) == cutoff)
+    slot = F.shiftrightunsigned(F.xxhash64(tie), 48)
+    level = level.filter(slot <= reach(level.select(slot.alias("slot")), "slot", rising=True))
+    return newer.union(level).orderBy(F.col(time).desc(), F.xxhash64(tie), tie).limit(n)

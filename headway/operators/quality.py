@@ -6,7 +6,7 @@ from collections.abc import Iterable, Mapping
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headway import network
@@ -88,9 +88,11 @@ def run_checks(models: Mapping[str, DataFrame], checks: Iterable[Check] = DECLAR
     """``(model, column, test, failures)`` for every check of the given models.
 
     All row checks of a model share one pass; uniqueness costs one grouping. ``failures`` is null
-    where the model lacks the column: the check was not run, and that stays visible.
+    where the model or its column is missing: the check was not run, and that stays visible.
     """
+    checks = list(checks)
     reports = []
+    unread = [c for c in checks if c.model not in models]
     for model, df in models.items():
         mine = [c for c in checks if c.model == model]
         runnable = [c for c in mine if c.column in df.columns]
@@ -107,4 +109,8 @@ def run_checks(models: Mapping[str, DataFrame], checks: Iterable[Check] = DECLAR
                 *[F.lit(None).cast("bigint").alias(f"f{i}") for i in range(len(absent))]
             )
             reports.append(_report(none, absent))
+    if unread:
+        rows = [(c.model, c.column, c.test, None) for c in unread]
+        spark = SparkSession.active()
+        reports.append(spark.createDataFrame(rows, "model string, column string, test string, failures bigint"))
     return reduce(DataFrame.unionByName, reports)

@@ -11,7 +11,6 @@ from headway.functions.columns import clock_hour, with_minutes
 from headway.operators.frames import newest
 from headway.operators.waits import wait_metrics, with_bands
 
-ROW_LIMIT = 100_000  # fixed value
 ALL_DAYS = 9999  # fixed value
 
 
@@ -27,16 +26,16 @@ def _within_hours(raw: DataFrame, hours_back: int, as_of: dt.datetime | str | No
 
 def recent_arrivals(
     raw: DataFrame,
-    hours_back: int = 24,
+    hours_back: int | None = 24,
     as_of: dt.datetime | str | None = None,
-    limit: int | None = ROW_LIMIT,
+    limit: int | None = None,
 ) -> DataFrame:
-    """The analysis frame: rows of the last ``hours_back`` hours (0 or less: all), newest first.
+    """The analysis frame: rows of the last ``hours_back`` hours (None, or 0 and less: all).
 
-    ``as_of`` is in UTC, as are the stored times. ``limit`` keeps the newest rows only; with None all
-    rows come, unsorted, since nothing downstream depends on their order.
+    ``as_of`` is in UTC, as are the stored times. All rows come, unsorted, since nothing downstream
+    depends on their order; a caller's ``limit`` keeps the newest only, newest first.
     """
-    rows = _within_hours(raw, hours_back, as_of) if hours_back > 0 else raw
+    rows = _within_hours(raw, hours_back, as_of) if hours_back and hours_back > 0 else raw
     if limit is not None:
         rows = newest(rows, limit, "ingestion_timestamp", "ingestion_date")
     frame = rows.select(
@@ -55,13 +54,13 @@ def recent_arrivals(
 
 
 def hourly_stats(
-    raw: DataFrame, days_back: int = 7, as_of: dt.date | str | None = None
+    raw: DataFrame, days_back: int | None = 7, as_of: dt.date | str | None = None
 ) -> DataFrame:
     """Hourly statistics with bands over the raw rows, copies included, in seconds and minutes.
 
-    ``days_back`` of 9999 or more means all days; the bound is on the partition column.
+    ``days_back`` of None, or 9999 and more, means all days; the bound is on the partition column.
     """
-    if days_back < ALL_DAYS:
+    if days_back is not None and days_back < ALL_DAYS:
         today = F.current_date() if as_of is None else F.lit(str(as_of)).cast("date")
         raw = raw.filter(F.col("ingestion_date") >= F.date_sub(today, days_back))
     timed = raw.withColumn("hour", clock_hour(F.col("arrival_time")))

@@ -10,7 +10,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from headway.operators import anomaly, distribution, frames, stats
-from headway.plans.extracts import ROW_LIMIT, hourly_stats, recent_arrivals
+from headway.plans.extracts import hourly_stats, recent_arrivals
 from headway.session import durable
 
 HOURS_BACK = 168  # fixed value
@@ -38,15 +38,19 @@ def build_report(
     hours: tuple[int, int] | None = None,
     station: str | None = None,
     as_of: dt.datetime | None = None,
-    limit: int | None = ROW_LIMIT,
+    limit: int | None = None,
+    hours_back: int | None = HOURS_BACK,
+    days_back: int | None = DAYS_BACK,
 ) -> Report:
     """Statistics of the chosen date, lines and hours; by default the last date and all the rest.
 
-    Some twenty statistics read the same few columns. A capped frame is written once, which also
-    fixes the rows taken at its cutoff; an uncapped one is cached after the filters, to disk where
+    They cover every row of the last ``hours_back`` hours; anomalies are of the last ``days_back`` days.
+
+    Some twenty statistics read the same few columns. A frame that the caller caps is written once; an
+    uncapped one is cached after the filters, to disk where
     memory is short.
     """
-    frame = recent_arrivals(raw, HOURS_BACK, as_of, limit).select(*COLUMNS)
+    frame = recent_arrivals(raw, hours_back, as_of, limit).select(*COLUMNS)
     if limit is not None:
         frame = durable(frame)
     defaults = frames.filter_defaults(frame).first()
@@ -82,7 +86,7 @@ def build_report(
         "percentiles": distribution.percentiles(filtered),
     }
     # One row per hour and station: little to write, and three readers.
-    hourly = durable(hourly_stats(raw, DAYS_BACK, as_of.date() if as_of else None))
+    hourly = durable(hourly_stats(raw, days_back, as_of.date() if as_of else None))
     found |= {
         "anomaly_summary": anomaly.anomaly_summary(hourly),
         "anomaly_points": anomaly.anomaly_points(hourly),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -38,13 +39,13 @@ def start_ingest(
     )
 
 
-def ingest_summary(query: StreamingQuery) -> dict:
+def ingest_summary(query: StreamingQuery, per_batch: dict[int, int] | None = None) -> dict:
     """``{"status", "inserted"}`` of the run, from the row count observed in each micro-batch.
 
-    Spark keeps the last ``spark.sql.streaming.numRecentProgressUpdates`` reports; raise that setting
-    for a run of more micro-batches than it holds.
+    Spark keeps the last 100 reports (``spark.sql.streaming.numRecentProgressUpdates``). ``per_batch``
+    holds the counts of earlier ones and is brought up to date; ``follow_ingest`` does so while it waits.
     """
-    per_batch = {}
+    per_batch = {} if per_batch is None else per_batch
     for progress in query.recentProgress:
         row = progress.observedMetrics.get(METRIC)
         if row is not None:
@@ -53,3 +54,17 @@ def ingest_summary(query: StreamingQuery) -> dict:
         "status": "failed" if query.exception() else "success",
         "inserted": sum(per_batch.values()),
     }
+
+
+def follow_ingest(query: StreamingQuery, seconds: int = 1) -> dict:
+    """Wait for the end of the query and give its summary, however many micro-batches it ran.
+
+    Reports are read every few ``seconds``, long before Spark drops them. A failure is in the status.
+    """
+    per_batch: dict[int, int] = {}
+    try:
+        while not query.awaitTermination(seconds):
+            ingest_summary(query, per_batch)
+    except StreamingQueryException:
+        pass
+    return ingest_summary(query, per_batch)
