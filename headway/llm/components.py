@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 
 from headway.session import durable
 
-ROWS_PER_TASK = 50_000
+ROWS_PER_TASK = 200_000
 
 
 def compact(df: DataFrame, most: int | None = None) -> tuple[DataFrame, int]:
     """``df`` from durable files, in no more partitions than its rows ask for, and the number of rows.
 
-    Loops go on with frames that get small; their next shuffles then have few map tasks. With ``most``, a
+    Loops go on with frames that get small; joins of frames of one partition then need no shuffle at all. With ``most``, a
     bound of the rows, the partitions are merged before the files are written.
     """
     seen = Observation()
@@ -37,7 +37,8 @@ def components(edges: DataFrame, count: int) -> DataFrame:
     picks = []
     left = edges
     while count:
-        both = left.union(left.select("b", "a")).toDF("node", "other")
+        ends = F.array(F.struct(F.col("a").alias("node"), F.col("b").alias("other")), F.struct("b", "a"))
+        both = left.select(F.inline(ends))
         rank = (lambda c: F.col(c)) if not picks else (lambda c, k=len(picks): F.xxhash64(F.lit(k), c))  # noqa: B023
         lowest = both.groupBy("node").agg(
             F.min_by("other", rank("other")).alias("other"), F.min(rank("other")).alias("rank")

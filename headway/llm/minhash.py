@@ -10,8 +10,8 @@ At likeness 0.85 a pair shares no band with chance (1 - 0.85**8)**40, about 3 in
 
 * Texts with equal sets are one class, named by its smallest doc_id; only classes go further. Buckets with
   the same members count once.
-* A bucket's pairs are not listed. In each round some leaders of every bucket (up to ``LEADERS``, then
-  ``MORE_LEADERS`` times as many each round) meet those members that are not yet in their component. Leaders then leave,
+* A bucket's pairs are not listed. In each round some leaders of every bucket (up to ``LEADERS``, which
+  settles dense families, then ``MORE_LEADERS`` times as many each round) meet those members that are not yet in their component. Leaders then leave,
   since all of their pairs are decided; a bucket is closed when its members are in one component. So
   copies cost few comparisons, and no pair that could join two components is left out.
 * A meeting counts as a pair only if sizes allow a link and so does the number of differing bits in
@@ -46,7 +46,7 @@ BANDS = 40
 BITS = 1024
 PERCENT = 85
 LEADERS = 4
-MORE_LEADERS = 1024
+MORE_LEADERS = 1 << 18
 CHUNK = 1 << 12
 SKETCH = "doc_id long, n_shingles long, digest binary, bands array<long>, bits array<long>"
 
