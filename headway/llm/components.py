@@ -37,8 +37,8 @@ def components(edges: DataFrame, count: int) -> DataFrame:
     picks = []
     left = edges
     while count:
-        ends = F.array(F.struct(F.col("a").alias("node"), F.col("b").alias("other")), F.struct("b", "a"))
-        both = left.select(F.inline(ends))
+        ways = [F.struct(F.col(x).alias("node"), F.col(y).alias("other")) for x, y in (("a", "b"), ("b", "a"))]
+        both = left.select(F.inline(F.array(*ways)))
         rank = (lambda c: F.col(c)) if not picks else (lambda c, k=len(picks): F.xxhash64(F.lit(k), c))  # noqa: B023
         lowest = both.groupBy("node").agg(
             F.min_by("other", rank("other")).alias("other"), F.min(rank("other")).alias("rank")
