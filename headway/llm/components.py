@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -23,6 +24,24 @@ def compact(df: DataFrame, most: int | None = None) -> tuple[DataFrame, int]:
     return kept.coalesce(max(1, -(-count // ROWS_PER_TASK))), count
 
 
+def joined(batches):
+    """(node, component) of all edges of a task, by union-find."""
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (above := root.setdefault(x, x)) != x:
+            root[x] = root[above]
+            x = above
+        return x
+
+    for batch in batches:
+        for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()):
+            low, high = sorted((find(a), find(b)))
+            root[high] = low
+    columns = [pa.array(x, pa.int64()) for x in (list(root), [find(x) for x in root])]
+    yield pa.RecordBatch.from_arrays(columns, ["node", "component"])
+
+
 def components(edges: DataFrame, count: int) -> DataFrame:
     """(node, component) for every node of the edges (a, b); the component is its smallest node.
 
@@ -32,8 +51,11 @@ def components(edges: DataFrame, count: int) -> DataFrame:
     picked, and edges within one node go. The first round ranks by id, which settles stars at once; later
     ones by a hash that changes, so that a chain shrinks by a constant factor. Only per-node minima are
     aggregated (with map-side partial sums), so a node with very many neighbours is no single task's work.
-    Joins are by sorting, as no side has a bound that would let the driver collect it.
+    Joins are by sorting, as no side has a bound that would let the driver collect it. At most
+    ``ROWS_PER_TASK`` edges are joined in one task instead, with the same result.
     """
+    if count <= ROWS_PER_TASK:
+        return edges.coalesce(1).mapInArrow(joined, "node long, component long")
     picks = []
     left = edges
     while count:

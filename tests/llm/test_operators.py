@@ -455,3 +455,22 @@ def test_pipeline(spark, sf_dir, docs, tokenizer, quality_model):
     assert set(final) == set(kept)
     for doc_id, row in final.items():
         assert row.ids == tokenizer.encode(kept[doc_id], add_special_tokens=False).ids and row.n_tokens == len(row.ids)
+
+
+@pytest.mark.parametrize("in_one_task", [True, False])
+def test_components(spark, monkeypatch, in_one_task):
+    from headway.llm import components as c
+
+    r = random.Random(3)
+    pairs = {tuple(sorted(r.sample(range(400), 2))) for _ in range(260)} | {(i, i + 1) for i in range(1000, 1060)}
+    pairs |= {(2000, i) for i in range(2001, 2100)}
+    want = {x: {x} for p in pairs for x in p}
+    for a, b in pairs:
+        both = want[a] | want[b]
+        for x in both:
+            want[x] = both
+    if not in_one_task:
+        monkeypatch.setattr(c, "ROWS_PER_TASK", 50)
+    edges = spark.createDataFrame(sorted(pairs), "a long, b long").persist()
+    got = {x.node: x.component for x in c.components(edges, len(pairs)).collect()}
+    assert got == {x: min(s) for x, s in want.items()}
