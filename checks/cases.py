@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import os
 import uuid
 from collections.abc import Callable
@@ -14,12 +15,13 @@ from checks.tables import hourly_since, over, sql_case, sql_in, sql_list
 from headway import network
 from headway.functions import columns as C
 from headway.operators import anomaly, distribution, frames, ingest, quality, stats, tiles, waits
-from headway.plans import extracts, marts, models
+from headway.plans import extracts, marts, models, report
 from headway.schemas import RAW_COLUMNS
-from headway.session import ensure_checkpoint_dir
+from headway.session import durable, ensure_checkpoint_dir
 from headway.sources import events as sample
 from headway.sources import raw as raw_table
-from headway.streaming.ingest import ONCE, start_ingest
+from headway.sources.schedules import read_schedule_batch, read_schedule_stream
+from headway.streaming.ingest import ONCE, follow_ingest, start_ingest, start_rejects
 
 AS_OF = "2024-01-30 12:00:00"
 AS_OF_DATE = "2024-01-30"
@@ -75,6 +77,18 @@ def scratch(spark: SparkSession, what: str) -> str:
     return os.path.join(ensure_checkpoint_dir(spark), f"{what}-{uuid.uuid4().hex}")
 
 
+def landed(spark: SparkSession, sf: str) -> str:
+    """The documents of the events, landed as JSON files."""
+    path = scratch(spark, "landing")
+    zoned(envelopes(spark, sf)).write.option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").json(path)
+    return path
+
+
+def in_order(df: DataFrame) -> DataFrame:
+    """``df``, a small ordered frame, with the position of each row."""
+    return df.coalesce(1).withColumn("position", F.monotonically_increasing_id())
+
+
 def retype(df: DataFrame, old: T.DataType, new: T.DataType) -> DataFrame:
     return df.withColumns({f.name: F.col(f.name).cast(new) for f in df.schema if f.dataType == old})
 
@@ -167,6 +181,49 @@ def ingest_stream(spark, sf):
     return zoneless(raw_table.read_raw(spark, path))
 
 
+@case(over("arrived", f"SELECT {RAW_LIST} FROM arrived"))
+def ingest_landed_batch(spark, sf):
+    """The documents as JSON files, read as one batch."""
+    return zoneless(ingest.arrivals_from_schedules(read_schedule_batch(spark, landed(spark, sf))))
+
+
+@case(over("arrived", "SELECT 'success' AS status, count(*) AS inserted FROM arrived"))
+def ingest_landed_summary(spark, sf):
+    """The documents as JSON files, streamed a few files at a time; what the run reports."""
+    stream = read_schedule_stream(spark, landed(spark, sf), 2)
+    arrivals = ingest.arrivals_from_schedules(stream)
+    summary = follow_ingest(start_ingest(arrivals, scratch(spark, "raw"), scratch(spark, "offsets"), ONCE))
+    return spark.createDataFrame([(summary["status"], summary["inserted"])], "status string, inserted bigint")
+
+
+@case(
+    over(
+        "documents",
+        """SELECT line_code, station_code, ts AS fetched_at, NULL::VARCHAR AS direction, fault AS reason
+           FROM documents WHERE known AND fault <> 'empty'
+           UNION ALL
+           SELECT line_code, station_code, ts, 'UP', up_fault
+           FROM documents WHERE known AND fault IS NULL AND up_fault IS NOT NULL
+           UNION ALL
+           SELECT line_code, station_code, ts, NULL, 'unlisted_station' FROM documents WHERE NOT known""",
+    )
+)
+def ingest_stream_rejects(spark, sf):
+    """All rejected documents, streamed from JSON files into files of their own."""
+    rejects = ingest.rejected_documents(read_schedule_stream(spark, landed(spark, sf), 2))
+    path = scratch(spark, "rejects")
+    start_rejects(rejects, path, scratch(spark, "offsets"), ONCE).awaitTermination()
+    return zoneless(spark.read.parquet(path).drop("payload", "fetched_date"))
+
+
+@case(over("raw", f"""SELECT line_code, {sql_case("line_code", network.LINE_NAMES, "none")} AS line_name, count(*) AS n
+                      FROM raw WHERE line_code <> 'XXX' GROUP BY line_code"""))
+def line_reference(spark, sf):
+    """Arrivals of each line of the reference table."""
+    counts = raw(spark, sf).groupBy("line_code").agg(F.count(F.lit(1)).alias("n"))
+    return network.line_reference(spark).join(counts, "line_code")
+
+
 @case(over("raw", f"SELECT {RAW_LIST} FROM raw"))
 def raw_append_and_scan(spark, sf):
     path = scratch(spark, "raw")
@@ -445,9 +502,47 @@ def line_summary(spark, sf):
     return stats.line_summary(frame(spark, sf))
 
 
-@case(over("frame", _summary_sql("frame", "line_name", MIN)))
+@case(over("frame", f"""SELECT *, row_number() OVER (ORDER BY avg_wait, line_name) - 1 AS position
+                        FROM ({_summary_sql("frame", "line_name", MIN)})"""))
 def line_ranking(spark, sf):
-    return stats.line_ranking(frame(spark, sf))
+    return in_order(stats.line_ranking(frame(spark, sf)))
+
+
+@case(over("frame", "SELECT station_code, row_number() OVER (ORDER BY station_code) - 1 AS position "
+                    "FROM (SELECT DISTINCT station_code FROM frame WHERE station_code IS NOT NULL)", gaps=True))
+def station_list_order(spark, sf):
+    return in_order(frames.station_list(frame(spark, sf, gaps=True)))
+
+
+@case(over("frame", """SELECT *, row_number() OVER (ORDER BY domain, value) - 1 AS position
+                       FROM (SELECT DISTINCT 'date' AS domain, CAST(date AS VARCHAR) AS value FROM frame
+                             UNION ALL SELECT DISTINCT 'line', line_name FROM frame
+                             UNION ALL SELECT DISTINCT 'hour', lpad(CAST(hour AS VARCHAR), 2, '0') FROM frame)"""))
+def filter_domains_order(spark, sf):
+    return in_order(frames.filter_domains(frame(spark, sf)))
+
+
+@case(over("fact", """SELECT line_code, row_number() OVER (ORDER BY sum(avg_wait_seconds * sample_count)
+                             / sum(sample_count) DESC, line_code) - 1 AS position FROM fact GROUP BY line_code"""))
+def tile_wait_by_line_order(spark, sf):
+    return in_order(tiles.tile_wait_by_line(models.fact_delays(staging(spark, sf)))).select("line_code", "position")
+
+
+@case(over("frame", f"""SELECT 'N/A' AS avg_wait, 'N/A' AS std_wait, format('{{:,}}', count(*)) AS total_arrivals,
+                               count(DISTINCT line_name) AS active_lines FROM frame WHERE {MIN} IS NULL""", gaps=True))
+def overview_text_no_waits(spark, sf):
+    """The display text of rows without any wait."""
+    rows = frame(spark, sf, gaps=True).filter(F.col(MIN).isNull())
+    return stats.overview_text(stats.overview(rows))
+
+
+@case("""SELECT CASE WHEN max(ts) >= TIMESTAMP '2024-06-01 00:00:00' - INTERVAL 168 HOUR THEN NULL
+                     ELSE 'no arrivals in the period' END AS note FROM events""")
+def report_note(spark, sf):
+    """The report of a period after the last arrival says why it is empty."""
+    page = report.build_report(raw(spark, sf), as_of=dt.datetime(2024, 6, 1))
+    page.close()
+    return spark.createDataFrame([(page.note,)], "note string")
 
 
 @case(
@@ -686,10 +781,8 @@ def overview_text_gaps(spark, sf):
 def run_checks(spark, sf, **kind):
     """All declared checks, on the staging view and the written marts."""
     rows = raw(spark, sf, extended=True, **kind)
-    built = marts.build_marts(
-        spark, rows, scratch(spark, "marts"), extra=["event_id"], tie_break=TIE_BREAK
-    )
-    stg = models.stg_arrivals(rows, extra=["event_id", "is_delayed"], tie_break=TIE_BREAK)
+    stg = durable(models.stg_arrivals(rows, extra=["event_id", "is_delayed"], tie_break=TIE_BREAK))
+    built = marts.publish_marts(spark, stg, scratch(spark, "marts"))
     return quality.run_checks({"stg_arrivals": stg, **built})
 
 

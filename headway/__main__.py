@@ -14,7 +14,7 @@ import json
 import sys
 
 from headway import get_session
-from headway.operators.ingest import arrivals_from_schedules
+from headway.operators.ingest import arrivals_from_schedules, rejected_documents
 from headway.operators.quality import run_checks
 from headway.plans.marts import MARTS, build_marts
 from headway.plans.models import stg_arrivals
@@ -22,7 +22,7 @@ from headway.plans.report import DAYS_BACK, HOURS_BACK, build_report
 from headway.session import GIB
 from headway.sources.raw import read_raw
 from headway.sources.schedules import read_schedule_stream
-from headway.streaming.ingest import ONCE, POLL_INTERVAL, follow_ingest, start_ingest
+from headway.streaming.ingest import ONCE, POLL_INTERVAL, follow_ingest, start_ingest, start_rejects
 
 
 def _arguments(argv: list[str] | None) -> argparse.Namespace:
@@ -34,6 +34,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     ingest.add_argument("--landing", required=True, help="folder of landed documents")
     ingest.add_argument("--raw", required=True, help="folder of the raw table")
     ingest.add_argument("--checkpoint", required=True, help="folder of the stream's state")
+    ingest.add_argument("--rejects", help="folder for rejected documents; default none are kept")
     ingest.add_argument("--continuous", action="store_true", help="go on polling instead of draining once")
     ingest.add_argument("--interval", default=POLL_INTERVAL)
     ingest.add_argument("--lines", help="comma-separated line codes; default all")
@@ -73,8 +74,17 @@ def main(argv: list[str] | None = None) -> int:
         stream = read_schedule_stream(spark, args.landing, args.max_files)
         arrivals = arrivals_from_schedules(stream, lines=_split(args.lines) or None)
         trigger = args.interval if args.continuous else ONCE
-        query = start_ingest(arrivals, args.raw, args.checkpoint, trigger)
-        summary = follow_ingest(query)
+        queries = {"arrivals": start_ingest(arrivals, args.raw, args.checkpoint, trigger)}
+        if args.rejects:
+            again = read_schedule_stream(spark, args.landing, args.max_files)
+            rejects = rejected_documents(again, lines=_split(args.lines) or None)
+            queries["rejects"] = start_rejects(rejects, args.rejects, f"{args.checkpoint}-rejects", trigger)
+        summary = follow_ingest(queries["arrivals"])
+        if args.rejects:
+            lost = follow_ingest(queries["rejects"])
+            summary["rejected"] = lost["inserted"]
+            if lost["status"] != "success":
+                summary["status"] = lost["status"]
         print(json.dumps(summary))
         return 0 if summary["status"] == "success" else 1
     raw = read_raw(spark, *args.raw)

@@ -192,6 +192,31 @@ def rejected(envelopes: DataFrame) -> DataFrame:
     )
 
 
+def rejected_documents(
+    envelopes: DataFrame, network_pairs: DataFrame | None = None, lines: Iterable[str] | None = None
+) -> DataFrame:
+    """All that ``arrivals_from_schedules`` drops: as ``rejected``, and documents that are never parsed.
+
+    Those are envelopes that could not be read (``unreadable_envelope``: no line, station or payload) and
+    documents of pairs that are not listed (``unlisted_station``). Documents of lines other than the chosen
+    ``lines`` are no rejects.
+    """
+    if lines is not None:
+        envelopes = envelopes.filter(F.col("line_code").isin(list(lines)) | F.col("line_code").isNull())
+    if network_pairs is None:
+        network_pairs = F.broadcast(network.station_reference(envelopes.sparkSession))
+    keys = ["line_code", "station_code"]
+    blank = F.coalesce("line_code", "station_code", "payload").isNull()
+    unlisted = envelopes.join(network_pairs, keys, "left_anti").select(
+        *keys,
+        "fetched_at",
+        F.lit(None).cast("string").alias("direction"),
+        F.when(blank, F.lit("unreadable_envelope")).otherwise(F.lit("unlisted_station")).alias("reason"),
+        "payload",
+    )
+    return rejected(envelopes.join(network_pairs, keys, "left_semi")).unionByName(unlisted)
+
+
 def restrict_to_network(
     envelopes: DataFrame, network_pairs: DataFrame | None = None, lines: Iterable[str] | None = None
 ) -> DataFrame:

@@ -87,8 +87,9 @@ def _report(one_row: DataFrame, checks: list[Check]) -> DataFrame:
 def run_checks(models: Mapping[str, DataFrame], checks: Iterable[Check] = DECLARED) -> DataFrame:
     """``(model, column, test, failures)`` for every check of the given models.
 
-    All row checks of a model share one pass; uniqueness costs one grouping. ``failures`` is null
-    where the model or its column is missing: the check was not run, and that stays visible.
+    All row checks of a model share one pass, and so does its first uniqueness check: failing rows are
+    counted per value, then summed. ``failures`` is null where the model or its column is missing: the
+    check was not run, and that stays visible.
     """
     checks = list(checks)
     reports = []
@@ -97,10 +98,17 @@ def run_checks(models: Mapping[str, DataFrame], checks: Iterable[Check] = DECLAR
         mine = [c for c in checks if c.model == model]
         runnable = [c for c in mine if c.column in df.columns]
         by_row = [c for c in runnable if c.test != "unique"]
-        if by_row:
-            counts = [F.count_if(_row_failure(c)).alias(f"f{i}") for i, c in enumerate(by_row)]
+        unique = [c for c in runnable if c.test == "unique"]
+        counts = [F.count_if(_row_failure(c)).alias(f"f{i}") for i, c in enumerate(by_row)]
+        if by_row and unique:
+            check, repeated = unique.pop(0), f"f{len(by_row)}"
+            per_value = df.groupBy(F.col(check.column).alias("value")).agg(F.count(F.lit(1)).alias("n"), *counts)
+            failures = F.count_if((F.col("n") > 1) & F.col("value").isNotNull()).alias(repeated)
+            sums = [F.coalesce(F.sum(f"f{i}"), F.lit(0)).alias(f"f{i}") for i in range(len(by_row))]
+            reports.append(_report(per_value.agg(*sums, failures), [*by_row, check]))
+        elif by_row:
             reports.append(_report(df.agg(*counts), by_row))
-        for check in (c for c in runnable if c.test == "unique"):
+        for check in unique:
             failures = check_unique(df, check.column).agg(F.count(F.lit(1)).alias("f0"))
             reports.append(_report(failures, [check]))
         absent = [c for c in mine if c not in runnable]

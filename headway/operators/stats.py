@@ -6,7 +6,7 @@ SQL models keep them. Callers that want several of these from one frame should p
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from headway.functions.columns import (
@@ -19,6 +19,7 @@ from headway.functions.columns import (
 from headway.operators.distribution import WAIT, value_counts
 from headway.operators.frames import station_frame
 from headway.operators.waits import SIGMAS
+from headway.session import durable
 
 # ---- fixed values -------------------------------------------------------------------------------
 TOP_STATIONS = 10
@@ -32,6 +33,8 @@ SUMMARY_HEADINGS = {
     "outliers": "Outliers (±2 SD)",
 }
 # ---- end of fixed values ------------------------------------------------------------------------
+BROADCAST_BYTES = 8 << 20
+ROW_BYTES = 64
 
 
 def overview(df: DataFrame, value: str = WAIT, line: str = "line_name") -> DataFrame:
@@ -89,8 +92,9 @@ def line_summary(
 ) -> DataFrame:
     """Per line: mean, deviation, variance, ends, count of values, and rows outside mean ± k·deviation.
 
-    Outliers are counted on the distinct values of each line rather than on rows, so joining each
-    line's moments to them moves no raw rows; adaptive execution splits a line that is still heavy.
+    The moments are written first, with their size. Up to ``BROADCAST_BYTES`` they are sent to every
+    task and a second pass over the rows counts the outliers without a shuffle of rows. Beyond, they
+    are joined to the distinct values of each line; adaptive execution splits a line that is heavy.
     """
     v = F.col(value)
     known = df.filter(F.col(line).isNotNull())
@@ -102,13 +106,16 @@ def line_summary(
         F.max(v).cast("double").alias("max_wait"),
         F.count(v).alias("wait_count"),
     )
+    seen = Observation()
+    row_bytes = F.octet_length(F.col(line).cast("string")) + ROW_BYTES
+    moments = durable(moments.observe(seen, F.sum(row_bytes).alias("bytes")))
+    bands = moments.select(line, "avg_wait", "std_wait")
     outside = outside_band(v, F.col("avg_wait"), F.col("std_wait"), k)
-    outliers = (
-        value_counts(known, value, [line])
-        .join(moments.select(line, "avg_wait", "std_wait"), line)
-        .groupBy(line)
-        .agg(F.sum(F.when(outside, F.col("n")).otherwise(0)).alias("outliers"))
-    )
+    if (seen.get["bytes"] or 0) <= BROADCAST_BYTES:
+        outliers = known.join(F.broadcast(bands), line).groupBy(line).agg(F.count_if(outside).alias("outliers"))
+    else:
+        counted = F.sum(F.when(outside, F.col("n")).otherwise(0))
+        outliers = value_counts(known, value, [line]).join(bands, line).groupBy(line).agg(counted.alias("outliers"))
     rounded = moments.withColumns(
         {
             name: round_half_even(F.col(name), digits)

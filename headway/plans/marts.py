@@ -32,7 +32,12 @@ def build_marts(
     extra: Iterable[str] = (),
     tie_break: Iterable[str] = (),
 ) -> dict[str, DataFrame]:
-    """Rebuild the three marts, as parquet under ``out`` or, without it, as tables of the catalog.
+    """Rebuild the three marts from the raw rows; see ``publish_marts``."""
+    return publish_marts(spark, stg_arrivals(raw, extra, tie_break), out)
+
+
+def publish_marts(spark: SparkSession, stg: DataFrame, out: str | None = None) -> dict[str, DataFrame]:
+    """Write the three marts of ``stg``, as parquet under ``out`` or, without it, as tables of the catalog.
 
     Staging is deduplicated once: the fact table has a group for every (line, station) in staging,
     null keys included, so both dimensions are read off the written fact table instead of running the
@@ -53,7 +58,6 @@ def build_marts(
         writer.parquet(path)
         return spark.read.schema(df.schema).parquet(path)  # an empty mart has no files to ask
 
-    stg = stg_arrivals(raw, extra, tie_break)
     fact = publish(fact_delays(stg), "fact_delays", "ingestion_date").select(*FACT_COLUMNS)
     return {
         "fact_delays": fact,

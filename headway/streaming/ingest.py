@@ -39,6 +39,28 @@ def start_ingest(
     )
 
 
+def start_rejects(
+    rejects: DataFrame, path: str, checkpoint: str, trigger: str = POLL_INTERVAL
+) -> StreamingQuery:
+    """Append a streaming frame of rejected documents to parquet files, with the day they were fetched.
+
+    A stream of its own with its own ``checkpoint``: documents are parsed once more, but both sinks commit
+    each micro-batch exactly once, and a failure of one leaves the other alone.
+    """
+    observed = rejects.withColumn("fetched_date", F.to_date("fetched_at")).observe(
+        METRIC, F.count(F.lit(1)).alias("inserted")
+    )
+    return (
+        observed.writeStream.format("parquet")
+        .partitionBy("fetched_date")
+        .option("path", path)
+        .option("checkpointLocation", checkpoint)
+        .outputMode("append")
+        .trigger(**trigger_options(trigger))
+        .start()
+    )
+
+
 def ingest_summary(query: StreamingQuery, per_batch: dict[int, int] | None = None) -> dict:
     """``{"status", "inserted"}`` of the run, from the row count observed in each micro-batch.
 

@@ -5,11 +5,11 @@ import json
 
 import pytest
 
-from headway.operators.ingest import arrivals_from_schedules
+from headway.operators.ingest import arrivals_from_schedules, rejected_documents
 from headway.schemas import ENVELOPE, EXTENDED_RAW, RAW
 from headway.sources.raw import append_raw, append_with_summary, read_raw
 from headway.sources.schedules import read_schedule_batch, read_schedule_stream
-from headway.streaming.ingest import ingest_summary, start_ingest, trigger_options
+from headway.streaming.ingest import follow_ingest, ingest_summary, start_ingest, start_rejects, trigger_options
 
 TRAIN = {"seq": "1", "ttnt": "4", "time": "2024-03-01 08:00:00", "dest": "TUC", "plat": "1"}
 
@@ -124,3 +124,31 @@ def test_continuous_trigger(spark, places):
 
 def test_envelope_schema():
     assert ENVELOPE.fieldNames() == ["line_code", "station_code", "fetched_at", "payload"]
+
+
+def test_rejects_are_stored_once(spark, places, tmp_path):
+    landing, _, offsets = places
+    land(landing, "a.json", PAIRS, 1)
+    (landing / "b.json").write_text('not json\n{"line_code": "TCL", "station_code": "HOK", "payload": "<html>"}\n')
+    path = str(tmp_path / "rejects")
+    for _ in range(2):
+        rejects = rejected_documents(read_schedule_stream(spark, str(landing), 1))
+        assert follow_ingest(start_rejects(rejects, path, offsets, "once"))["status"] == "success"
+    found = spark.read.parquet(path).select("line_code", "station_code", "direction", "reason")
+    # DOWN of the unlisted pair is bad as well, but that document is not parsed.
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(
+        [
+            ("TCL", "HOK", "DOWN", "bad_wait"),
+            ("XXX", "CEN", None, "unlisted_station"),
+            ("TCL", "HOK", None, "unparsable_payload"),
+            (None, None, None, "unreadable_envelope"),
+        ],
+        key=str,
+    )
+
+
+def test_rejects_of_chosen_lines(spark, places):
+    landing, *_ = places
+    land(landing, "a.json", PAIRS)
+    found = rejected_documents(read_schedule_batch(spark, str(landing)), lines=["TCL"])
+    assert [(r.line_code, r.reason) for r in found.collect()] == [("TCL", "bad_wait")]
