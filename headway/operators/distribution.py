@@ -1,16 +1,19 @@
 """Exact distribution statistics at any size.
 
-All of them start from the counts of distinct values, which partial aggregation makes before the
-shuffle; a value that fills a third of the table is one row per input task. Positions in the sorted
-order then come from range-partitioned running counts, so no group, not even the whole table as one
-group, is ever gathered or sorted in one task.
+All of them start from counts of values, which partial aggregation makes before the shuffle; a value
+that fills a third of the table is one row per input task. Positions in the sorted order then come from
+range-partitioned running counts, so no group, not even the whole table as one group, is ever gathered
+or sorted in one task.
+
+Quantiles need few of the values. A sketch brackets each wanted position, one more pass counts the values
+inside the brackets and the rows between them, and running counts over these find the values and prove
+that the positions lie inside. If one does not, the brackets get wider, in the end as wide as the column.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from headway.functions.columns import all_present, one_decimal_text
@@ -22,6 +25,9 @@ PERCENTILE_HEADINGS = {"percentile": "Percentile", "wait_text": "Wait Time (min)
 HISTOGRAM_BINS = 50  # fixed value
 WHISKER = 1.5
 RANK_BLOCK = 65_536  # ranks that one row unfolds to
+ACCURACY = 5_000  # the sketch is off by one part of so many; smaller groups are taken whole
+BROADCAST_BYTES = 8 << 20
+ROW_BYTES = 512  # of a group's numbers, besides its keys
 
 
 def value_counts(df: DataFrame, value: str = WAIT, by: Iterable[str] = ()) -> DataFrame:
@@ -30,29 +36,35 @@ def value_counts(df: DataFrame, value: str = WAIT, by: Iterable[str] = ()) -> Da
     return df.filter(all_present(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
 
 
-def _ranged_counts(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
-    """Counts of distinct values cut into ranges of about equal length, numbered by ``slice``.
+def _ranged(counts: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
+    """Counts cut into ranges of about equal length, numbered by ``slice``.
 
     Written once, since its readers need the same cuts.
     """
-    ranged = value_counts(df, value, by).repartitionByRange(*by, value)
+    ranged = counts.repartitionByRange(*by, value)
     return durable(ranged.withColumn("slice", F.spark_partition_id()))
 
 
-def _running(ranged: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
+def _running(ranged: DataFrame, value: str, by: Sequence[str], qs: Sequence[float] | None = None) -> DataFrame:
+    """Running counts; with ``qs`` only of the slices that hold a group's ends or one of these positions."""
     # One row per (group, slice): a sum over slices handles no more rows than there are slices.
     slices = ranged.groupBy(*by, "slice").agg(F.sum("n").alias("held"))
     earlier = Window.partitionBy(*by).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = slices.select(
         *by,
         "slice",
-        F.coalesce(F.sum("held").over(earlier), F.lit(0).cast("bigint")).alias("before"),
+        (F.coalesce(F.sum("held").over(earlier), F.lit(0).cast("bigint"))).alias("before"),
+        "held",
         F.sum("held").over(Window.partitionBy(*by)).alias("total"),
     )
+    if qs is not None:
+        ends = offsets.withColumns({"upto": F.col("before") + F.col("held"), "n": F.col("held")})
+        offsets = ends.filter(_holds(qs)).drop("upto", "n")
     inside = Window.partitionBy(*by, "slice").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    summed = ranged.withColumn("inside", F.sum("n").over(inside))
-    return summed.join(offsets, [*by, "slice"]).select(
-        *by, value, "n", (F.col("before") + F.col("inside")).alias("upto"), "total"
+    return (
+        ranged.join(offsets, [*by, "slice"])
+        .withColumn("upto", F.col("before") + F.sum("n").over(inside))
+        .drop("slice", "before", "held")
     )
 
 
@@ -61,30 +73,104 @@ def running_counts(df: DataFrame, value: str = WAIT, by: Sequence[str] = ()) ->
 
     Each range of values sums on its own and adds what the ranges before it hold.
     """
-    return _running(_ranged_counts(df, value, by), value, by)
+    counts = _running(_ranged(value_counts(df, value, by), value, by), value, by)
+    return counts.select(*by, value, "n", "upto", "total")
 
 
-def _position(q: float, total: Column) -> Column:
-    return F.lit(q) * (total - 1)
+def _position(q: float) -> str:
+    """SQL of the place of a quantile among ``total`` rows in order, from 0."""
+    return f"({float(q)!r}D * (total - 1))"
 
 
-def _around(counts: DataFrame, qs: Sequence[float]) -> DataFrame:
-    """The few rows of running counts that hold the ends or the positions on either side of ``qs``."""
-    upto, n, total = F.col("upto"), F.col("n"), F.col("total")
-    wanted = (upto == n) | (upto == total)
-    for q in qs:
-        position = _position(q, total)
-        wanted = wanted | ((upto > F.floor(position)) & (upto - n <= F.ceil(position)))
-    return counts.filter(wanted)
+def _holds(qs: Sequence[float]) -> str:
+    """SQL: whether the ``n`` rows up to rank ``upto`` hold an end, or a position on either side of ``qs``."""
+    sides = [f"upto > floor({_position(q)}) AND upto - n <= ceil({_position(q)})" for q in qs]
+    return " OR ".join(["upto = n", "upto = total", *sides])
 
 
 def _quantile(value: str, q: float) -> Column:
     """Aggregate over running counts: the linearly interpolated quantile."""
-    position = _position(q, F.col("total"))
-    low = F.min(F.when(F.col("upto") > F.floor(position), F.col(value)))
-    high = F.min(F.when(F.col("upto") > F.ceil(position), F.col(value)))
-    share = _position(q, F.max("total"))
-    return low + (high - low) * (share - F.floor(share))
+    low = f"min(CASE WHEN upto > floor({_position(q)}) THEN `{value}` END)"
+    high = f"min(CASE WHEN upto > ceil({_position(q)}) THEN `{value}` END)"
+    share = f"({float(q)!r}D * (max(total) - 1))"
+    return F.expr(f"{low} + ({high} - {low}) * ({share} - floor({share}))")
+
+
+def _brackets(df: DataFrame, value: str, by: Sequence[str], qs: Sequence[float], margin: float) -> DataFrame:
+    """Per group an array of (lo, hi) brackets: the ends of the column, and a sketched one for each of ``qs``.
+
+    A group of fewer than ``ACCURACY`` rows, where a rank is more than the sketch tells apart, is one bracket.
+    """
+    v = F.col(value)
+    shares = [max(q - margin, 0.0) for q in qs] + [min(q + margin, 1.0) for q in qs]
+    found = df.groupBy(*by).agg(
+        F.min(v).alias("_least"),
+        F.max(v).alias("_greatest"),
+        F.count(v).alias("_rows"),
+        F.percentile_approx(value, shares, ACCURACY).alias("_at"),
+    )
+    least, greatest, at = F.col("_least"), F.col("_greatest"), F.col("_at")
+    whole = F.col("_rows") < ACCURACY
+    columns = [least.alias("_lo0"), F.when(whole, greatest).otherwise(least).alias("_hi0")]
+    for i, q in enumerate(qs):
+        lo = least if q <= margin else F.when(whole, least).otherwise(at[i])
+        hi = greatest if q >= 1 - margin else F.when(whole, greatest).otherwise(at[len(qs) + i])
+        columns += [lo.alias(f"_lo{i + 1}"), hi.alias(f"_hi{i + 1}")]
+    return found.select(*by, *columns, greatest.alias(f"_lo{len(qs) + 1}"), greatest.alias(f"_hi{len(qs) + 1}"))
+
+
+def _narrowed(df: DataFrame, value: str, by: Sequence[str], brackets: DataFrame, wide: int) -> DataFrame:
+    """Counts of the values in the brackets; ``own`` rows have the value, the rest of ``n`` lie in the gap after it."""
+    names = [f"_{end}{i}" for i in range(wide) for end in ("lo", "hi")]
+    if by:
+        # The caller has checked the size of this side.
+        rows, edge = df.join(F.broadcast(brackets), list(by)), ""
+    else:
+        rows, edge = df.withColumn("_edges", brackets.select(F.struct(*names)).scalar()), "_edges."
+    inside = " OR ".join(f"`{value}` BETWEEN {edge}_lo{i} AND {edge}_hi{i}" for i in range(wide))
+    gap = ", ".join(f"CASE WHEN `{value}` > {edge}_hi{i} THEN {edge}_hi{i} END" for i in range(wide))
+    placed = rows.select(
+        *by, F.expr(f"CASE WHEN {inside} THEN `{value}` ELSE greatest({gap}) END AS `{value}`"), F.expr(f"{inside} AS own")
+    )
+    return placed.groupBy(*by, value).agg(F.count(F.lit(1)).alias("n"), F.count_if("own").alias("own"))
+
+
+def _quantiles(df: DataFrame, value: str, by: Sequence[str], qs: Sequence[float]) -> tuple[DataFrame, bool]:
+    """Per group ``p0``, ``p1`` ... for ``qs``, ``least``, ``greatest`` and ``total``; whether the groups are few.
+
+    Few groups (``BROADCAST_BYTES``) are narrowed to brackets first; with more, all values are counted, which
+    many groups shorten less and spread well.
+    """
+    by = list(by)
+    df = df.filter(all_present([*by, value])).select(*by, value)
+    margin, few = 3 / ACCURACY, True
+    while True:
+        if few:
+            brackets = _brackets(df, value, by, qs, margin)
+            if by:
+                seen = Observation()
+                row_bytes = sum((F.octet_length(F.col(c).cast("string")) for c in by), F.lit(ROW_BYTES))
+                brackets = durable(brackets.observe(seen, F.sum(row_bytes).alias("bytes")))
+                few = (seen.get["bytes"] or 0) <= BROADCAST_BYTES
+        if few:
+            counts = _narrowed(df, value, by, brackets, len(qs) + 2)
+        else:
+            counts = value_counts(df, value, by).withColumn("own", F.col("n"))
+        running = _running(_ranged(counts, value, by), value, by, qs).filter(_holds(qs))
+        sides = [f"{side}({_position(q)})" for q in qs for side in ("floor", "ceil")]
+        missed = " OR ".join(f"upto - n + own <= {x} AND {x} < upto" for x in sides)
+        found = running.groupBy(*by).agg(
+            *[_quantile(value, q).alias(f"p{i}") for i, q in enumerate(qs)],
+            F.min(value).alias("least"),
+            F.max(value).alias("greatest"),
+            F.max("total").alias("total"),
+            F.max(F.expr(missed)).alias("missed"),
+        )
+        seen = Observation()
+        found = durable(found.observe(seen, F.coalesce(F.max("missed"), F.lit(False)).alias("missed")))
+        if not seen.get["missed"]:
+            return found.drop("missed"), few
+        margin *= 16
 
 
 def percentiles(
@@ -96,7 +182,8 @@ def percentiles(
 ) -> DataFrame:
     """Percentiles as rows ``(percentile, wait_minutes, wait_text)``, within ``by`` groups.
 
-    Exact with linear interpolation; with ``accuracy`` Spark's sketch is used instead, in one pass.
+    Exact with linear interpolation, worked out when called; with ``accuracy`` Spark's sketch is used
+    instead, in one lazy pass.
     """
     if accuracy:
         sketch = F.percentile_approx(value, [p / 100 for p in ps], accuracy)
@@ -104,9 +191,7 @@ def percentiles(
         values = [F.try_element_at("found", F.lit(i + 1)) for i in range(len(ps))]
     else:
         qs = [p / 100 for p in ps]
-        rows = _around(running_counts(df, value, by), qs).groupBy(*by).agg(
-            *[_quantile(value, q).alias(f"p{i}") for i, q in enumerate(qs)]
-        )
+        rows, _ = _quantiles(df, value, by, qs)
         values = [F.col(f"p{i}") for i in range(len(ps))]
     entries = F.array(
         *[
@@ -139,9 +224,13 @@ def cdf(df: DataFrame, value: str = WAIT) -> DataFrame:
     """
     rows = df.agg(F.count(F.lit(1)).alias("rows")).scalar()
     step = F.lit(RANK_BLOCK).cast("bigint")
-    blocks = running_counts(df, value).select(
-        value, "upto", F.explode(F.sequence(F.col("upto") - F.col("n") + 1, F.col("upto"), step)).alias("first")
+    # Blocks of blocks first: neither level makes a long array of a value with very many rows.
+    wide = step * step
+    areas = running_counts(df, value).select(
+        value, "upto", F.explode(F.sequence(F.col("upto") - F.col("n") + 1, F.col("upto"), wide)).alias("area")
     )
+    end = F.least(F.col("area") + wide - 1, F.col("upto"))
+    blocks = areas.select(value, "upto", F.explode(F.sequence("area", end, step)).alias("first"))
     # A block is a few bytes that unfold to many rows, so the number of tasks is stated: adaptive
     # execution would merge by bytes.
     last = F.least(F.col("first") + step - 1, F.col("upto"))
@@ -175,36 +264,27 @@ def histogram(df: DataFrame, bins: int = HISTOGRAM_BINS, value: str = WAIT) -> D
 def box_stats(df: DataFrame, by: Sequence[str] = (), value: str = WAIT) -> DataFrame:
     """Box-plot summary per group: ends, quartiles, and whiskers within 1.5 quartile ranges."""
     by = list(by)
-    ranged = _ranged_counts(df, value, by)
-    boxes = _around(_running(ranged, value, by), [0.25, 0.5, 0.75]).groupBy(*by).agg(
-        F.min(value).cast("double").alias("least"),
-        _quantile(value, 0.25).alias("q1"),
-        _quantile(value, 0.5).alias("median"),
-        _quantile(value, 0.75).alias("q3"),
-        F.max(value).cast("double").alias("greatest"),
-        F.max("total").alias("n"),
+    rows, few = _quantiles(df, value, by, [0.25, 0.5, 0.75])
+    boxes = rows.select(
+        *by,
+        F.col("least").cast("double").alias("least"),
+        F.col("p0").alias("q1"),
+        F.col("p1").alias("median"),
+        F.col("p2").alias("q3"),
+        F.col("greatest").cast("double").alias("greatest"),
+        F.col("total").alias("n"),
     )
     reach = F.lit(WHISKER) * (F.col("q3") - F.col("q1"))
-    fenced = boxes.withColumns({"fence_lo": F.col("q1") - reach, "fence_hi": F.col("q3") + reach})
-    if by:
-        inside = ranged.select(*by, value).join(fenced.select(*by, "fence_lo", "fence_hi"), by)
-        lo, hi = F.col("fence_lo"), F.col("fence_hi")
-    else:
-        inside = ranged
-        fences = fenced.select(F.struct("fence_lo", "fence_hi")).scalar()
-        lo, hi = fences.getField("fence_lo"), fences.getField("fence_hi")
-    whiskers = (
-        inside.filter(F.col(value).between(lo, hi))
-        .groupBy(*by)
-        .agg(
-            F.min(value).cast("double").alias("whisker_low"),
-            F.max(value).cast("double").alias("whisker_high"),
-        )
-    )
+    fences = boxes.select(*by, (F.col("q1") - reach).alias("fence_lo"), (F.col("q3") + reach).alias("fence_hi"))
+    ends = [F.min(value).cast("double").alias("whisker_low"), F.max(value).cast("double").alias("whisker_high")]
     fields = ["least", "whisker_low", "q1", "median", "q3", "whisker_high", "greatest", "n"]
-    if by:
-        return fenced.join(whiskers, by).select(*by, *fields)
-    ends = whiskers.select(F.struct("whisker_low", "whisker_high")).scalar()
-    return fenced.withColumns(
-        {name: ends.getField(name) for name in ("whisker_low", "whisker_high")}
-    ).select(*fields)
+    if not by:
+        fence = fences.select(F.struct("fence_lo", "fence_hi")).scalar()
+        inside = df.filter(F.col(value).between(fence.getField("fence_lo"), fence.getField("fence_hi")))
+        whisker = inside.agg(F.struct(*ends)).scalar()
+        names = ("whisker_low", "whisker_high")
+        return boxes.withColumns({name: whisker.getField(name) for name in names}).select(*fields)
+    # The fences have the size that the brackets had; where that was too much, distinct values are joined.
+    met = df.select(*by, value).join(F.broadcast(fences), by) if few else value_counts(df, value, by).join(fences, by)
+    whiskers = met.filter(F.col(value).between(F.col("fence_lo"), F.col("fence_hi"))).groupBy(*by).agg(*ends)
+    return boxes.join(whiskers, by).select(*by, *fields)

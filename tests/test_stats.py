@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from headway.functions import columns as C
 from headway.operators import distribution, frames, stats
+from headway.operators.distribution import WAIT
 from tests.frames_util import frame, waits
 
 MIXED = [
@@ -170,6 +171,57 @@ def test_cdf_steps(spark):
     assert sorted(tuple(r) for r in steps) == [(1.0, 1, 1, 0.25), (2.0, 2, 3, 0.75)]
 
 
+@pytest.fixture
+def spread(spark):
+    """40,000 different values in two groups, and a third of all rows at one value."""
+    numbers = spark.range(40_000).select(
+        F.when(F.col("id") % 4 == 0, "A").otherwise("B").alias("line_name"),
+        (F.pmod(F.xxhash64("id"), F.lit(1 << 40)) / 7).alias(WAIT),
+    )
+    return numbers.unionAll(spark.range(20_000).select(F.lit("B"), F.lit(5e10)))
+
+
+@pytest.mark.parametrize("by", [[], ["line_name"]])
+def test_quantiles_count_few_values(spread, by):
+    qs = [0.25, 0.5, 0.9]
+    brackets = distribution._brackets(spread, WAIT, by, qs, 3 / distribution.ACCURACY)
+    counts = distribution._narrowed(spread, WAIT, by, brackets, len(qs) + 2)
+    assert counts.agg(F.sum("n")).first()[0] == 60_000
+    assert counts.count() < 0.02 * 60_000
+    got = distribution.percentiles(spread, by=by).toPandas()
+    pdf = spread.toPandas()
+    for p in distribution.PERCENTILES:
+        mine = got[got.percentile == f"{p}th"]
+        want = pdf.groupby("line_name")[WAIT].quantile(p / 100) if by else pdf[WAIT].quantile(p / 100)
+        found = mine.set_index("line_name").wait_minutes.sort_index() if by else mine.wait_minutes.iloc[0]
+        assert np.allclose(found, want, rtol=1e-12)
+
+
+@pytest.mark.parametrize("by", [[], ["line_name"]])
+def test_quantiles_widen_brackets_that_miss(spread, by, monkeypatch):
+    """With a sketch that is far off, the proof fails until the brackets are as wide as the column."""
+    real, margins = distribution._brackets, []
+
+    def off(df, value, by, qs, margin):
+        margins.append(margin)
+        return real(df, value, by, [q / 3 for q in qs], margin)
+
+    monkeypatch.setattr(distribution, "_brackets", off)
+    row = distribution.box_stats(spread.filter("line_name = 'A'"), by=by).first()
+    want = spread.filter("line_name = 'A'").toPandas()[WAIT].quantile([0.25, 0.5, 0.75])
+    assert np.allclose([row.q1, row.median, row.q3], want, rtol=1e-12)
+    assert len(margins) > 1
+
+
+@pytest.mark.parametrize("few", [True, False])
+def test_quantiles_of_many_groups(spread, monkeypatch, few):
+    monkeypatch.setattr(distribution, "BROADCAST_BYTES", 8 << 20 if few else 0)
+    got = distribution.box_stats(spread, by=["line_name"]).toPandas().set_index("line_name").sort_index()
+    groups = spread.toPandas().groupby("line_name")[WAIT]
+    assert np.allclose(got[["q1", "median", "q3"]], groups.quantile([0.25, 0.5, 0.75]).unstack())
+    assert list(got.n) == list(groups.size())
+
+
 def test_running_counts_by_group(spark):
     df = frame(spark, [(line, "S", "UP", 1, float(v % 7)) for line in "ABC" for v in range(40)])
     got = distribution.running_counts(df, by=["line_name"]).toPandas()
