@@ -16,11 +16,12 @@ import sys
 from headway import get_session
 from headway.operators.ingest import arrivals_from_schedules, rejected_documents
 from headway.operators.quality import run_checks
-from headway.plans.marts import MARTS, build_marts
+from headway.plans.marts import build_marts, read_marts
 from headway.plans.models import STAGING_COLUMNS, stg_arrivals
 from headway.plans.report import DAYS_BACK, HOURS_BACK, build_report
-from headway.session import GIB
-from headway.sources.raw import read_raw
+from headway.schemas import EXTENDED_RAW, RAW
+from headway.session import GIB, fit_session
+from headway.sources.raw import read_raw, read_raw_table
 from headway.sources.schedules import read_schedule_stream
 from headway.streaming.ingest import ONCE, POLL_INTERVAL, follow_ingest, start_ingest, start_rejects
 
@@ -29,9 +30,15 @@ from headway.streaming.ingest import ONCE, POLL_INTERVAL, follow_ingest, start_i
 TIE_BREAK = [c for c in STAGING_COLUMNS if c not in ("arrival_id", "ingestion_timestamp")]
 
 
+def _raw_arguments(command: argparse.ArgumentParser) -> None:
+    source = command.add_mutually_exclusive_group(required=True)
+    source.add_argument("--raw", nargs="+", help="folders of the raw table")
+    source.add_argument("--table", nargs="+", help="raw tables of the catalog")
+
+
 def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="headway", description=__doc__.splitlines()[0])
-    parser.add_argument("--input-gib", type=int, help="rough size of the input, to size shuffles by")
+    parser.add_argument("--input-gib", type=int, help="rough size of the input, to size shuffles by; default that of the raw table")
     commands = parser.add_subparsers(dest="command", required=True)
 
     ingest = commands.add_parser("ingest")
@@ -45,15 +52,20 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     ingest.add_argument("--max-files", type=int, help="documents files per micro-batch")
 
     marts = commands.add_parser("marts")
-    marts.add_argument("--raw", required=True, nargs="+")
+    _raw_arguments(marts)
     marts.add_argument("--out", help="folder for the marts; default tables of the catalog")
+    marts.add_argument("--database", help="database of those tables; default the current one")
 
     check = commands.add_parser("check")
-    check.add_argument("--raw", required=True, nargs="+")
-    check.add_argument("--marts", required=True, help="folder that the marts command wrote")
+    _raw_arguments(check)
+    check.add_argument("--marts", help="folder that the marts command wrote; default tables of the catalog")
+    check.add_argument("--database", help="database of those tables; default the current one")
 
     report = commands.add_parser("report")
-    report.add_argument("--raw", required=True, nargs="+")
+    _raw_arguments(report)
+    report.add_argument("--marts", help="folder that the marts command wrote, for the tiles")
+    report.add_argument("--database", help="database of the marts, for the tiles")
+    report.add_argument("--delays", action="store_true", help="the raw table has the columns on delays; tiles for them")
     report.add_argument("--date")
     report.add_argument("--lines", help="comma-separated line names")
     report.add_argument("--hours", help="first-last, such as 7-10")
@@ -91,13 +103,16 @@ def main(argv: list[str] | None = None) -> int:
                 summary["status"] = lost["status"]
         print(json.dumps(summary))
         return 0 if summary["status"] == "success" else 1
-    raw = read_raw(spark, *args.raw)
+    schema = EXTENDED_RAW if args.command == "report" and args.delays else RAW
+    raw = read_raw(spark, *args.raw, schema=schema) if args.raw else read_raw_table(spark, *args.table, schema=schema)
+    if input_bytes is None:
+        fit_session(raw)
     if args.command == "marts":
-        for name, df in build_marts(spark, raw, args.out, tie_break=TIE_BREAK).items():
+        for name, df in build_marts(spark, raw, args.out, tie_break=TIE_BREAK, database=args.database).items():
             print(name, df.count())
         return 0
     if args.command == "check":
-        models = {name: spark.read.parquet(f"{args.marts}/{name}") for name in MARTS}
+        models = read_marts(spark, args.marts, args.database)
         results = run_checks({"stg_arrivals": stg_arrivals(raw, tie_break=TIE_BREAK), **models}).collect()
         for row in results:
             print(f"{row.model}.{row['column']} {row.test}: {'not run' if row.failures is None else row.failures}")
@@ -105,8 +120,10 @@ def main(argv: list[str] | None = None) -> int:
             return 1
         return 2 if any(row.failures is None for row in results) else 0
     hours = tuple(map(int, args.hours.split("-"))) if args.hours else None
+    fact = read_marts(spark, args.marts, args.database)["fact_delays"] if args.marts or args.database else None
     page = build_report(
-        raw, args.date, _split(args.lines), hours, args.station, args.as_of, args.limit, args.hours_back, args.days_back
+        raw, args.date, _split(args.lines), hours, args.station, args.as_of, args.limit, args.hours_back,
+        args.days_back, fact,
     )
     if page.note:
         print(page.note)

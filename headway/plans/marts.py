@@ -31,14 +31,30 @@ def build_marts(
     out: str | None = None,
     extra: Iterable[str] = (),
     tie_break: Iterable[str] = (),
+    database: str | None = None,
 ) -> dict[str, DataFrame]:
     """Rebuild the three marts from the raw rows; see ``publish_marts``."""
-    return publish_marts(spark, stg_arrivals(raw, extra, tie_break), out)
+    return publish_marts(spark, stg_arrivals(raw, extra, tie_break), out, database)
 
 
-def publish_marts(spark: SparkSession, stg: DataFrame, out: str | None = None) -> dict[str, DataFrame]:
+def table_name(name: str, database: str | None = None) -> str:
+    return f"{database}.{name}" if database else name
+
+
+def read_marts(spark: SparkSession, out: str | None = None, database: str | None = None) -> dict[str, DataFrame]:
+    """The marts that were published to the folder ``out`` or, without it, to the catalog."""
+    if out is None:
+        return {name: spark.table(table_name(name, database)) for name in MARTS}
+    return {name: spark.read.parquet(os.path.join(out, name)) for name in MARTS}
+
+
+def publish_marts(
+    spark: SparkSession, stg: DataFrame, out: str | None = None, database: str | None = None
+) -> dict[str, DataFrame]:
     """Write the three marts of ``stg``, as parquet under ``out`` or, without it, as tables of the catalog.
 
+    Tables go to ``database``, or to the current one.
+
     Staging is deduplicated once: the fact table has a group for every (line, station) in staging,
     null keys included, so both dimensions are read off the written fact table instead of running the
     dedup again.
@@ -52,8 +68,8 @@ def publish_marts(spark: SparkSession, stg: DataFrame, out: str | None = None) -
         if partition:
             writer = writer.partitionBy(partition)
         if out is None:
-            writer.format("parquet").saveAsTable(name)
-            return spark.table(name)
+            writer.format("parquet").saveAsTable(table_name(name, database))
+            return spark.table(table_name(name, database))
         path = os.path.join(out, name)
         writer.parquet(path)
         return spark.read.schema(df.schema).parquet(path)  # an empty mart has no files to ask

@@ -9,8 +9,8 @@ from dataclasses import dataclass, field
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
-from headway.operators import anomaly, distribution, frames, stats
-from headway.plans.extracts import hourly_stats, recent_arrivals
+from headway.operators import anomaly, distribution, frames, stats, tiles
+from headway.plans.extracts import ALL_DAYS, hourly_stats, recent_arrivals
 from headway.session import durable
 
 HOURS_BACK = 168  # fixed value
@@ -41,9 +41,13 @@ def build_report(
     limit: int | None = None,
     hours_back: int | None = HOURS_BACK,
     days_back: int | None = DAYS_BACK,
+    fact: DataFrame | None = None,
 ) -> Report:
     """Statistics of the chosen date, lines and hours; by default the last date and all the rest.
 
+    With the published ``fact`` table come the tiles of its last days, and those of delays where ``raw``
+    has the column ``is_delayed``.
+
     They cover every row of the last ``hours_back`` hours; anomalies are of the last ``days_back`` days.
 
     Some twenty statistics read the same few columns. A frame that the caller caps is written once; an
@@ -92,4 +96,14 @@ def build_report(
         "anomaly_points": anomaly.anomaly_points(hourly),
         "anomaly_details": anomaly.anomaly_details(hourly),
     }
+    if fact is not None:
+        day = as_of.date() if as_of else None
+        span = None if days_back is None or days_back >= ALL_DAYS else days_back
+        hours_of_fact = tiles.tile_filter(fact, span, as_of=day)
+        found["tile_wait_by_line"] = tiles.tile_wait_by_line(hours_of_fact)
+        found["tile_peak_activity"] = tiles.tile_peak_activity(hours_of_fact)
+        if "is_delayed" in raw.columns:
+            arrivals = tiles.tile_filter(raw, span, as_of=day)
+            found["tile_delay_trend"] = tiles.tile_delay_trend(arrivals)
+            found["tile_delay_share"] = tiles.tile_delay_share(arrivals)
     return Report(frames=found, cached=cached)

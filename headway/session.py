@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,16 +25,23 @@ GIB = 1 << 30
 MAX_SHUFFLE_PARTITIONS = 100_000
 
 
-def sizing(input_bytes: int) -> dict[str, str]:
+def sizing(
+    input_bytes: int,
+    least: int = 200,
+    most: int = MAX_SHUFFLE_PARTITIONS,
+    partition_bytes: int = GIB,
+    long_splits_from: int = 10_000 * GIB,
+) -> dict[str, str]:
     """Settings for a job that reads about this much.
 
     Adaptive execution merges shuffle partitions but never splits them (other than skewed joins and
-    rebalances), so their initial number has to fit the largest shuffle: about 1 GiB each, which the
-    sorting and aggregating operators here can spill. Large reads take larger splits, since the
-    shuffle has a block for every pair of map and reduce task.
+    rebalances), so their initial number has to fit the largest shuffle: ``partition_bytes`` each, which
+    the sorting and aggregating operators here can spill, within ``least`` and ``most`` partitions. Reads
+    of ``long_splits_from`` bytes take longer splits, since the shuffle has a block for every pair of map
+    and reduce task.
     """
-    partitions = min(max(-(-input_bytes // GIB), 200), MAX_SHUFFLE_PARTITIONS)
-    split = "128m" if input_bytes < 10_000 * GIB else "1g"
+    partitions = min(max(-(-input_bytes // partition_bytes), least), most)
+    split = "128m" if input_bytes < long_splits_from else "1g"
     return {
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
         "spark.sql.files.maxPartitionBytes": split,
@@ -56,6 +65,22 @@ def get_session(
     return builder.getOrCreate()
 
 
+def fit_session(df: DataFrame, **bounds) -> int:
+    """Size the shuffles of ``df``'s session for a job that reads it all; returns its size in bytes.
+
+    The size is the one that Spark plans with: that of the files, or of the table's statistics. Settings
+    that the application was started with stay, and there are never fewer than the session's own partitions.
+    """
+    spark = df.sparkSession
+    size = int(df._jdf.queryExecution().analyzed().stats().sizeInBytes())
+    bounds.setdefault("least", int(spark.conf.get("spark.sql.shuffle.partitions")))
+    given = spark.sparkContext.getConf()
+    for key, value in sizing(size, **bounds).items():
+        if not given.contains(key):
+            spark.conf.set(key, value)
+    return size
+
+
 def shuffle_tasks(spark: SparkSession) -> int:
     """How many partitions a shuffle of this session starts with."""
     initial = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
@@ -63,16 +88,20 @@ def shuffle_tasks(spark: SparkSession) -> int:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The checkpoint folder of the session: the configured one, or a temporary one in local mode."""
+    """The checkpoint folder of the session: the configured one, or a temporary one in local mode.
+
+    The temporary one goes when the process ends.
+    """
     context = spark.sparkContext
     current = context.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured is None:
-        if not context.master.startswith("local"):
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
         configured = tempfile.mkdtemp(prefix="headway-checkpoint-")
+        atexit.register(shutil.rmtree, configured, ignore_errors=True)
     context.setCheckpointDir(configured)
     return configured
 

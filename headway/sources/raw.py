@@ -24,6 +24,12 @@ def read_raw(spark: SparkSession, *paths: str, schema: T.StructType = schemas.RA
     return reduce(DataFrame.unionByName, parts).select(*schema.fieldNames())
 
 
+def read_raw_table(spark: SparkSession, *names: str, schema: T.StructType = schemas.RAW) -> DataFrame:
+    """The same from one or more tables of the catalog, such as ``db.raw_arrivals``; other columns are left out."""
+    columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]
+    return reduce(DataFrame.unionByName, [spark.table(name).select(*columns) for name in names])
+
+
 def append_raw(df: DataFrame, path: str, observation: Observation | None = None) -> None:
     """Append rows to the day-partitioned table.
 

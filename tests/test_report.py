@@ -3,6 +3,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from checks import cases
 from headway.__main__ import main
@@ -60,3 +61,24 @@ def test_command_line(spark, tmp_path, capsys):
     assert printed.count(": 0") == 22
     assert main(["report", "--raw", raw]) == 0
     assert "no arrivals in the period" in capsys.readouterr().out
+
+
+def test_command_line_with_a_catalog(spark, sf_dir, tmp_path, capsys):
+    spark.sql("CREATE DATABASE IF NOT EXISTS transit")
+    rows = cases.zoned(cases.raw(spark, sf_dir, extended=True))
+    rows.write.mode("overwrite").saveAsTable("transit.raw_arrivals")
+    source = ["--table", "transit.raw_arrivals"]
+    assert main(["marts", *source, "--database", "transit"]) == 0
+    capsys.readouterr()
+    assert main(["check", *source, "--database", "transit"]) == 1  # the events have a line that is not listed
+    assert "dim_lines.line_code unique: 0" in capsys.readouterr().out
+    out = str(tmp_path / "page")
+    how = ["--hours-back", "0", "--days-back", "9999", "--delays", "--out", out]
+    assert main(["report", *source, "--database", "transit", *how]) == 0
+    read = spark.read.parquet
+    facts = spark.table("transit.fact_delays")
+    assert read(f"{out}/tile_peak_activity").agg(F.sum("total_arrivals")).first() == facts.agg(F.sum("sample_count")).first()
+    assert read(f"{out}/tile_wait_by_line").count() == facts.select("line_code").distinct().count()
+    delayed = rows.filter("is_delayed").count()
+    for tile in ("tile_delay_trend", "tile_delay_share"):
+        assert read(f"{out}/{tile}").agg(F.sum("delayed_count")).first()[0] == delayed > 0

@@ -1,5 +1,7 @@
 """Sizing and the folder of durable intermediates."""
 
+import os
+
 import pytest
 
 from headway import session
@@ -28,9 +30,13 @@ def test_the_session_names_the_folder():
     assert session.ensure_checkpoint_dir(Stub("yarn", "hdfs:///c", "s3a://mine")) == "s3a://mine"
 
 
-def test_no_local_folder_on_a_cluster():
+@pytest.mark.parametrize("master", ["yarn", "local-cluster[2,1,1024]"])
+def test_no_local_folder_on_a_cluster(master):
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        session.ensure_checkpoint_dir(Stub("yarn"))
+        session.ensure_checkpoint_dir(Stub(master))
+
+
+def test_local_folder():
     local = Stub("local[2]")
     assert session.ensure_checkpoint_dir(local) == local.current
 
@@ -50,3 +56,18 @@ def test_shuffle_tasks(spark):
         assert session.shuffle_tasks(spark) == 12
     finally:
         spark.conf.unset(key)
+
+
+def test_session_fits_its_input(spark, sf_dir):
+    df = spark.read.parquet(f"{sf_dir}/events.parquet")
+    keys = ("spark.sql.adaptive.coalescePartitions.initialPartitionNum", "spark.sql.files.maxPartitionBytes")
+    try:
+        size = session.fit_session(df, partition_bytes=1000, long_splits_from=1000)
+        assert size == os.path.getsize(f"{sf_dir}/events.parquet")
+        assert session.shuffle_tasks(spark) == -(-size // 1000)
+        assert spark.conf.get(keys[1]) == "1g"
+        session.fit_session(df)
+        assert session.shuffle_tasks(spark) == 8
+    finally:
+        for key in keys:
+            spark.conf.unset(key)
