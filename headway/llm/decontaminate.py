@@ -145,6 +145,11 @@ class ItemBlock:
         starts[1:] &= flat[:-1] == 32
         starts[bounds[:-1][bounds[:-1] < len(flat)]] = True
         starts = np.flatnonzero(starts)
+        if self.classes:
+            # What the widest window, read on past the document's end, does not hold, no class's window does.
+            widest, fewest = (f(one[k] for one in self.classes) for f, k in ((max, "width"), (min, "needed")))
+            stops = np.minimum(starts + widest, len(flat))
+            starts = starts[hits[np.maximum(stops - GRAM + 1, starts)] - hits[starts] >= fewest]
         doc = np.searchsorted(bounds, starts, side="right") - 1
         last = bounds[doc + 1]
         for one in self.classes:
