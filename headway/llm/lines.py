@@ -1,13 +1,14 @@
 """Line deduplication by pairwise alignment.
 
-Lines (between line feeds, compared without outer spaces, tabs and returns) are hashed. Every line of
-``MIN_CHARS`` characters or more that also stands in an earlier document names a partner: the first
-document, by doc_id, that holds it. Rare lines thus name the documents that really overlap, and a frequent
-line names one and the same first document everywhere, so partners grow with the lines and are neither
-listed in pairs nor capped by frequency. Each document is aligned with each of its partners by patience
-diff: lines that occur once in both, the longest run of them that is in order in both, equal lines next
-to them, and again between them. Aligned blocks of at least ``MIN_CHARS`` characters are deleted from the
-later document; out of order or only in short lines, repetition stays.
+Lines (between line feeds, compared without outer spaces, tabs and returns) are hashed. Two documents can
+share an aligned block of at least ``MIN_CHARS`` characters only if they share a shortest run of neighbouring
+lines of so many characters, counted from a line on or back from a line; every line of a block lies in such a
+run of the block. So these runs, short and blank lines included, name the partners, by the rule by which blocks
+are deleted. Each document is aligned with its partners by patience diff: lines that occur once in both, the
+longest run of them that is in order in both, equal lines next to them, and again between them. Aligned blocks
+of at least ``MIN_CHARS`` characters are deleted from the later document; out of order, repetition stays.
+
+A run names the first document that holds it.
 
 Only line hashes travel to the alignment, as one array a document; texts are read again for the result.
 
@@ -20,11 +21,13 @@ from __future__ import annotations
 
 from bisect import bisect_left
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from headway.llm.arrow import SLICE_BYTES
+from headway.llm.hashing import BASE, INVERSE, mix, powers
 from headway.session import durable
 
 MIN_CHARS = 40
@@ -123,10 +126,51 @@ def aligned_batches(min_chars: int):
     return run
 
 
+def run_keys(hashes, sizes, bounds, min_chars: int) -> tuple[np.ndarray, np.ndarray]:
+    """(document, key) of the shortest runs of ``min_chars`` characters from each line on and back from each.
+
+    ``bounds`` are the documents' offsets into the lines.
+    """
+    n = len(hashes)
+    chars = np.r_[0, np.cumsum(sizes, dtype=np.int64)]
+    sums = np.zeros(n + 1, np.uint64)
+    # Blank lines are 0; one more, so that they count.
+    np.cumsum((hashes + np.uint64(1)) * powers(BASE, n), out=sums[1:])
+    doc = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    on = np.searchsorted(chars, chars[:-1] + min_chars, side="left")
+    back = np.searchsorted(chars, chars[1:] - min_chars, side="right") - 1
+    forward, backward = on <= bounds[doc + 1], back >= bounds[doc]
+    start = np.r_[np.flatnonzero(forward), back[backward]]
+    stop = np.r_[on[forward], np.flatnonzero(backward) + 1]
+    keys = mix((sums[stop] - sums[start]) * powers(INVERSE, n + 1)[start] + (stop - start).astype(np.uint64))
+    found = np.unique(np.stack([doc[start].astype(np.uint64), keys], axis=1), axis=0)
+    return found[:, 0].astype(np.int64), found[:, 1].astype(np.int64)
+
+
+def key_batches(min_chars: int):
+    step = max(1, SLICE_BYTES >> 12)
+
+    def run(batches):
+        for whole in batches:
+            for at in range(0, whole.num_rows, step):
+                batch = whole.slice(at, step)
+                lists = batch.column("hashes")
+                bounds = np.r_[0, np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False), dtype=np.int64)]
+                hashes = lists.flatten().to_numpy(zero_copy_only=False).astype(np.uint64)
+                sizes = batch.column("sizes").flatten().to_numpy(zero_copy_only=False)
+                doc, keys = run_keys(hashes, sizes, bounds, min_chars)
+                rows = pa.array(doc)
+                columns = [pa.array(keys), batch.column("doc_id").take(rows), batch.column("tie").take(rows)]
+                yield pa.RecordBatch.from_arrays(columns, ["line", "doc_id", "tie"])
+
+    return run
+
+
 def removed_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """(doc_id, tie, removed, partners): places of the lines to delete, of documents that lose some.
 
-    ``tie`` is a hash of the text, so that rows which share a doc_id are told apart.
+    ``tie`` is a hash of the text, so that rows which share a doc_id are told apart. ``partners`` counts the
+    aligned documents that took lines.
     """
     texts = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"))
     lines = F.transform(lines_of(F.col("text")), bare)
@@ -136,24 +180,29 @@ def removed_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
         .select("doc_id", F.xxhash64("text").alias("tie"), lines.alias("lines"))
         .select("doc_id", "tie", hashed.alias("hashes"), F.transform("lines", F.length).alias("sizes"))
     )
-    long_lines = F.filter("hashes", lambda x, i: F.element_at("sizes", i + 1) >= min_chars)
-    naming = keyed.select("doc_id", "tie", F.explode(F.array_distinct(long_lines)).alias("line"))
+    runs = key_batches(min_chars), "line long, doc_id long, tie long"
+    naming = keyed.mapInArrow(*runs)
     owners = naming.groupBy("line").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("latest"))
-    owners = owners.filter("owner < latest").select("line", "owner")
-    pairs = durable(naming.join(owners, "line").filter("owner < doc_id").select("owner", "doc_id", "tie").distinct())
-    earlier = keyed.join(pairs.select(F.col("owner").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    earlier = earlier.select(F.col("doc_id").alias("owner"), F.col("hashes").alias("lines_a"))
-    later = keyed.join(pairs.select("doc_id", "tie").distinct(), ["doc_id", "tie"], "left_semi").distinct()
-    later = later.withColumnsRenamed({"hashes": "lines_b", "sizes": "sizes_b"})
-    both = pairs.join(later, ["doc_id", "tie"]).join(earlier, "owner")
-    both = both.select("doc_id", "tie", "lines_a", "lines_b", "sizes_b")
-    aligned = both.mapInArrow(aligned_batches(min_chars), "doc_id long, tie long, removed array<int>")
-    places = F.array_distinct(F.flatten(F.collect_list("removed")))
-    return (
-        aligned.filter(F.size("removed") > 0)
-        .groupBy("doc_id", "tie")
-        .agg(places.alias("removed"), F.count("*").alias("partners"))
-    )
+    owners = durable(owners.filter("owner < latest").select("line", "owner"))
+    shared = durable(naming.join(owners, "line"))
+    pairs = shared.filter("owner < doc_id").select("owner", "doc_id", "tie").distinct()
+    pairs = durable(pairs)
+
+    def align_pairs(pairs: DataFrame) -> DataFrame:
+        earlier = keyed.join(pairs.select(F.col("owner").alias("doc_id")).distinct(), "doc_id", "left_semi")
+        earlier = earlier.select(F.col("doc_id").alias("owner"), F.col("hashes").alias("lines_a"))
+        later = keyed.join(pairs.select("doc_id", "tie").distinct(), ["doc_id", "tie"], "left_semi").distinct()
+        later = later.withColumnsRenamed({"hashes": "lines_b", "sizes": "sizes_b"})
+        both = pairs.join(later, ["doc_id", "tie"]).join(earlier, "owner")
+        both = both.select("doc_id", "tie", "lines_a", "lines_b", "sizes_b")
+        aligned = both.mapInArrow(aligned_batches(min_chars), "doc_id long, tie long, removed array<int>")
+        return aligned.filter(F.size("removed") > 0)
+
+    def merged(aligned: DataFrame) -> DataFrame:
+        places = F.array_distinct(F.flatten(F.collect_list("removed")))
+        return aligned.groupBy("doc_id", "tie").agg(places.alias("removed"), F.count("*").alias("partners"))
+
+    return merged(align_pairs(pairs))
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, counts: bool = True, keep_emptied: bool = True) -> DataFrame:

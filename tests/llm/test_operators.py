@@ -301,6 +301,12 @@ def test_line_query_removes_only_lines_of_earlier_documents(spark, docs):
         seen[t] = d
 
 
+def test_copies_of_short_lines_go(spark):
+    text = "\n".join(f"body line {i}" for i in range(30))
+    df = spark.createDataFrame([(1, text), (2, "own\n" + text)], "doc_id long, text string")
+    assert dict(texts_of(lines.dedup_lines(df))) == {1: text, 2: "own"}
+
+
 # ---- decontamination ----------------------------------------------------------------------------
 def test_edit_distance():
     def plain(item, text):
