@@ -8,7 +8,11 @@ are deleted. Each document is aligned with its partners by patience diff: lines
 longest run of them that is in order in both, equal lines next to them, and again between them. Aligned blocks
 of at least ``MIN_CHARS`` characters are deleted from the later document; out of order, repetition stays.
 
-A run names the first document that holds it.
+The result is that of an alignment with all earlier documents, by doc_id, in rounds. In the first, a run names
+the first document that holds it, so pairs grow with the lines. Later rounds take the shared runs of which lines
+are left, and align the document with more of their earlier holders (``SPREAD``), the last one with all that were
+not tried; of holders with equal texts one does there. Runs that are deleted at once, as frequent lines mostly
+are, need one round.
 
 Only line hashes travel to the alignment, as one array a document; texts are read again for the result.
 
@@ -31,6 +35,8 @@ from headway.llm.hashing import BASE, INVERSE, mix, powers
 from headway.session import durable
 
 MIN_CHARS = 40
+#: Holders of a run, one of each hash class of doc_id, that the rounds between the first and the last try.
+SPREAD = (16, 256)
 
 
 def lines_of(text) -> Column:
@@ -126,10 +132,10 @@ def aligned_batches(min_chars: int):
     return run
 
 
-def run_keys(hashes, sizes, bounds, min_chars: int) -> tuple[np.ndarray, np.ndarray]:
+def run_keys(hashes, sizes, bounds, min_chars: int, gone=None) -> tuple[np.ndarray, np.ndarray]:
     """(document, key) of the shortest runs of ``min_chars`` characters from each line on and back from each.
 
-    ``bounds`` are the documents' offsets into the lines.
+    ``bounds`` are the documents' offsets into the lines. With ``gone``, only runs that hold a line not marked.
     """
     n = len(hashes)
     chars = np.r_[0, np.cumsum(sizes, dtype=np.int64)]
@@ -142,6 +148,10 @@ def run_keys(hashes, sizes, bounds, min_chars: int) -> tuple[np.ndarray, np.ndar
     forward, backward = on <= bounds[doc + 1], back >= bounds[doc]
     start = np.r_[np.flatnonzero(forward), back[backward]]
     stop = np.r_[on[forward], np.flatnonzero(backward) + 1]
+    if gone is not None:
+        marked = np.r_[0, np.cumsum(gone, dtype=np.int64)]
+        left = marked[stop] - marked[start] < stop - start
+        start, stop = start[left], stop[left]
     keys = mix((sums[stop] - sums[start]) * powers(INVERSE, n + 1)[start] + (stop - start).astype(np.uint64))
     found = np.unique(np.stack([doc[start].astype(np.uint64), keys], axis=1), axis=0)
     return found[:, 0].astype(np.int64), found[:, 1].astype(np.int64)
@@ -157,8 +167,13 @@ def key_batches(min_chars: int):
                 lists = batch.column("hashes")
                 bounds = np.r_[0, np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False), dtype=np.int64)]
                 hashes = lists.flatten().to_numpy(zero_copy_only=False).astype(np.uint64)
+                gone = None
+                if "removed" in batch.schema.names:
+                    gone = np.zeros(len(hashes), bool)
+                    for k, places in enumerate(batch.column("removed").to_pylist()):
+                        gone[bounds[k] + np.array(places or [], np.int64)] = True
                 sizes = batch.column("sizes").flatten().to_numpy(zero_copy_only=False)
-                doc, keys = run_keys(hashes, sizes, bounds, min_chars)
+                doc, keys = run_keys(hashes, sizes, bounds, min_chars, gone)
                 rows = pa.array(doc)
                 columns = [pa.array(keys), batch.column("doc_id").take(rows), batch.column("tie").take(rows)]
                 yield pa.RecordBatch.from_arrays(columns, ["line", "doc_id", "tie"])
@@ -175,7 +190,7 @@ def removed_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     texts = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"))
     lines = F.transform(lines_of(F.col("text")), bare)
     hashed = F.transform("lines", lambda x: F.when(x == "", F.lit(0)).otherwise(F.xxhash64(x)).cast("long"))
-    keyed = (
+    keyed = durable(
         texts.filter("doc_id IS NOT NULL AND text IS NOT NULL")
         .select("doc_id", F.xxhash64("text").alias("tie"), lines.alias("lines"))
         .select("doc_id", "tie", hashed.alias("hashes"), F.transform("lines", F.length).alias("sizes"))
@@ -202,7 +217,23 @@ def removed_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
         places = F.array_distinct(F.flatten(F.collect_list("removed")))
         return aligned.groupBy("doc_id", "tie").agg(places.alias("removed"), F.count("*").alias("partners"))
 
-    return merged(align_pairs(pairs))
+    found = durable(align_pairs(pairs))
+    open_docs, tried = pairs.select("doc_id", "tie").distinct(), pairs
+    for spread in (*SPREAD, None):
+        rest = keyed.join(open_docs, ["doc_id", "tie"], "left_semi").distinct()
+        rest = rest.join(merged(found).drop("partners"), ["doc_id", "tie"], "left")
+        left = rest.mapInArrow(*runs).join(owners, "line").filter("owner < doc_id")
+        left = durable(left.select("line", "doc_id", "tie"))
+        if left.isEmpty():
+            break
+        holders = shared.join(left.select("line").distinct(), "line", "left_semi")
+        part = F.col("tie") if spread is None else F.pmod(F.xxhash64("doc_id"), F.lit(spread))
+        holders = holders.groupBy("line", part.alias("part")).agg(F.min("doc_id").alias("owner"))
+        more = left.join(holders, "line").filter("owner < doc_id").select("owner", "doc_id", "tie").distinct()
+        more = durable(more.join(tried, ["owner", "doc_id", "tie"], "left_anti"))
+        found = durable(found.unionByName(align_pairs(more)))
+        open_docs, tried = left.select("doc_id", "tie").distinct(), tried.unionByName(more)
+    return merged(found)
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, counts: bool = True, keep_emptied: bool = True) -> DataFrame:

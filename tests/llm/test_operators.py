@@ -307,6 +307,67 @@ def test_copies_of_short_lines_go(spark):
     assert dict(texts_of(lines.dedup_lines(df))) == {1: text, 2: "own"}
 
 
+def aligned_with_all(rows):
+    """Removal by an alignment of every document with every earlier one."""
+    def bare(t):
+        return [x.strip(" \t\r") for x in t.split("\n")]
+
+    code = {"": 0}
+    left = {}
+    for d, t in rows:
+        mine = [code.setdefault(x, len(code)) for x in bare(t)]
+        gone = set()
+        for e, other in rows:
+            if e < d:
+                theirs = [code.setdefault(x, len(code)) for x in bare(other)]
+                gone.update(lines.blocks(lines.align(theirs, mine), [len(x) for x in bare(t)], lines.MIN_CHARS))
+        left[d] = "\n".join(x for i, x in enumerate(t.split("\n")) if i not in gone)
+    return left
+
+
+def long_line(k):
+    return f"this is line number {k} and it has more than forty characters"
+
+
+def test_a_frequent_line_does_not_hide_the_partner(spark):
+    head = long_line("head")
+    body = [f"body line {i}" for i in range(30)]
+    a, b, c = long_line("a"), long_line("b"), long_line("c")
+    texts = [
+        [head, "own"], [head, *body], [head, *body], [c, b, a], [a, b, c], [a, b, c, "end"], [a, b, c],
+        [head, "x"], ["y", head, ""], ["z", head, "x"], [head, "", "v"], ["w", head, "", "u"],
+    ]
+    rows = [(d, "\n".join(t)) for d, t in enumerate(texts)]
+    got = dict(texts_of(lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"))))
+    assert got == aligned_with_all(rows)
+    assert got[2] == "" and got[5] == "end" and got[6] == "" and got[9] == "z"
+
+
+def test_lines_against_an_alignment_with_all_earlier_documents(spark):
+    r = random.Random(6)
+    pool = [*(long_line(k) for k in range(8)), *(f"half of it, line {k}" for k in range(8)), *(f"short {k}" for k in range(6)), "", "--"]
+    texts = []
+    for _ in range(120):
+        t = []
+        for _ in range(r.randint(1, 5)):
+            if texts and r.random() < 0.5:
+                other = r.choice(texts)
+                at = r.randrange(len(other))
+                t += other[at : at + r.randint(1, 6)]
+            else:
+                t += [r.choice(pool) if r.random() < 0.8 else f"own {r.random()}" for _ in range(r.randint(1, 4))]
+        texts.append(t)
+    rows = [(d, "\n".join(t)) for d, t in enumerate(texts)]
+    got = dict(texts_of(lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"))))
+    assert got == aligned_with_all(rows)
+
+
+def test_lines_of_the_table_against_an_alignment_with_all(spark, docs):
+    rows = sorted(texts_of(docs.limit(150)))
+    got = dict(texts_of(lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"))))
+    assert got == aligned_with_all(rows)
+
+
 # ---- decontamination ----------------------------------------------------------------------------
 def test_edit_distance():
     def plain(item, text):
