@@ -3,7 +3,8 @@
 A document is contaminated if some stretch of it is within ``edits`` times an item's length of the item
 in edit distance, both with A-Z lower-cased and white space as single spaces' bytes.
 
-Items are put in classes of similar length. In a document, windows as long as the class start at words.
+Items are put in classes of similar length. In a document, windows as long as the class start at words, after
+ASCII punctuation, and, in runs of ``RUN`` bytes or more without white space, at every character.
 A window is looked at only if it shares enough ``GRAM``-byte strings with the items: a stretch within the
 bound has all of the item's, less ``GRAM`` for each edit, so this loses none. Windows and items are then
 embedded by CGK random walks (each step writes the current byte, and a random bit of step and byte says
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from headway.llm.arrow import flat_bytes, ranges, text_slices
-from headway.llm.hashing import LOWER, SPACE, gram_hashes
+from headway.llm.hashing import LOWER, SPACE, gram_hashes, word_spans
 
 EDITS = 0.08
 RECALL = 0.99
@@ -39,8 +40,13 @@ GROWTH = 1.2
 FILTER_BITS = 22
 BLOCK_BYTES = 4 << 20
 WINDOWS = 1 << 15
+RUN = 24
 SCHEMA = "doc_id long, item_id long, distance int, start long, end long"
 
+#: ASCII bytes other than letters, digits and white space.
+PUNCTUATION = np.zeros(256, bool)
+PUNCTUATION[[c for c in range(33, 127) if not chr(c).isalnum()]] = True
+
 PLAIN = LOWER.copy()
 PLAIN[SPACE] = 32
 
@@ -76,6 +82,19 @@ def best_stretch(item: bytes, text: bytes) -> tuple[int, int]:
     return best, end
 
 
+def window_starts(flat: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Where windows begin: words, what follows punctuation, and all characters of long runs without white space."""
+    solid = flat != 32
+    starts = solid.copy()
+    starts[1:] &= (flat[:-1] == 32) | PUNCTUATION[flat[:-1]]
+    starts[bounds[:-1][bounds[:-1] < len(flat)]] = True
+    first, last, _ = word_spans(solid, bounds)
+    long = last - first >= RUN
+    inside = ranges(first[long], last[long] - first[long])
+    starts[inside[(flat[inside] & 0xC0) != 0x80]] = True
+    return np.flatnonzero(starts)
+
+
 class ItemBlock:
     """Items with their length classes, filter and hash tables."""
 
@@ -141,10 +160,7 @@ class ItemBlock:
         grams = gram_hashes(flat, GRAM)
         hits[1 : len(grams) + 1] = self.grams[self.cell(grams)]
         hits = np.cumsum(hits, dtype=np.int32)
-        starts = flat != 32
-        starts[1:] &= flat[:-1] == 32
-        starts[bounds[:-1][bounds[:-1] < len(flat)]] = True
-        starts = np.flatnonzero(starts)
+        starts = window_starts(flat, bounds)
         if self.classes:
             # What the widest window, read on past the document's end, does not hold, no class's window does.
             widest, fewest = (f(one[k] for one in self.classes) for f, k in ((max, "width"), (min, "needed")))

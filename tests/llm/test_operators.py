@@ -422,6 +422,23 @@ def test_item_blocks(spark, sf_dir, docs):
     assert len(blocks) > 2 and sum(len(b.items) for b in blocks) == items.count()
 
 
+def test_items_inside_runs_without_spaces(spark, sf_dir):
+    bench = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
+    r = random.Random(12)
+    han = ["".join(chr(r.randrange(0x4E00, 0x9F00)) for _ in range(60)) for _ in range(20)]
+    solid = [decontaminate.plain("".join(t.split())).decode() for _, t in bench] + han
+    block = decontaminate.ItemBlock([(k, t.encode()) for k, t in enumerate(solid)], decontaminate.EDITS, decontaminate.RECALL)
+    rows, filler = [], lambda n: "".join(r.choice("abcdefgh漢字語") for _ in range(n))
+    for k, t in enumerate(solid):
+        rows += [(k, filler(n) + t + filler(50)) for n in (30, 100, 300)]
+    found = {(row, k) for row, k, distance, *_ in block.matches(pa.array([t for _, t in rows])) if distance == 0}
+    assert found >= {(i, k) for i, (k, _) in enumerate(rows)}
+    spaced = decontaminate.ItemBlock([(k, decontaminate.plain(t)) for k, t in bench], decontaminate.EDITS, decontaminate.RECALL)
+    texts = [f"https://x.example/{filler(40)}={t}" for _, t in bench]
+    found = {(row, k) for row, k, distance, *_ in spaced.matches(pa.array(texts)) if distance == 0}
+    assert found >= {(i, k) for i, (k, _) in enumerate(bench)}
+
+
 # ---- language -----------------------------------------------------------------------------------
 def crc(doc_id):
     return zlib.crc32(str(doc_id).encode()) % 3
