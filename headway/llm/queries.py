@@ -14,6 +14,7 @@ from headway.llm import (
     decontaminate,
     language,
     lines,
+    merkle,
     minhash,
     phrases,
     quality,
@@ -149,3 +150,75 @@ def op10_quality(spark: SparkSession, sf: str) -> DataFrame:
     return found.select(
         "doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", predicted.alias("predicted")
     )
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    manifest = merkle.build_manifest(merkle.leaf_rows(table(spark, sf, "documents")))
+    return merkle.prove(manifest, spark)
+
+
+def _merkle_sql() -> str:
+    """Trees level by level as lists; the CRC of the decimal id by its bits; proofs folded from lists of siblings."""
+    def field(column: str) -> str:
+        return f"coalesce(strlen(cast({column} AS varchar)) || ':' || cast({column} AS varchar), '-')"
+
+    def leaf(n_chars: str) -> str:
+        return "sha256(" + " || ".join(map(field, ("doc_id", "source", "lang", n_chars, "text"))) + ")"
+
+    above = (
+        "list_transform(range((len(nodes) + 1) // 2), lambda i: "
+        "sha256(nodes[2 * i + 1] || coalesce(nodes[2 * i + 2], '')))"
+    )
+    # What stands beside place k // 2**level of a level: 'L' or 'R' and a digest, 'L' alone without a sibling.
+    step = (
+        "CASE WHEN (place >> level) & 1 = 1 THEN 'L' || nodes[(place >> level)] "
+        "ELSE 'R' || coalesce(nodes[(place >> level) + 2], '') END"
+    )
+    fold = (
+        "list_reduce(list_prepend({start}, steps), lambda a, s: "
+        "CASE WHEN s[1] = 'L' THEN sha256(s[2:] || a) ELSE sha256(a || s[2:]) END)"
+    )
+    return f"""
+WITH RECURSIVE bits AS (
+  SELECT *, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(cast(doc_id AS varchar), ''), lambda c: ascii(c)::BIGINT)),
+    lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)),
+      lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)) AS state
+  FROM documents
+), leaves AS (
+  SELECT doc_id, lang, {leaf("n_chars")} AS leaf,
+    CASE WHEN xor(state, 4294967295) % 7 = 0 THEN {leaf("(n_chars + 1)")} ELSE {leaf("n_chars")} END AS now
+  FROM bits
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place FROM leaves
+), trees AS (
+  SELECT lang, 0 AS level, list(leaf ORDER BY place) AS nodes FROM placed GROUP BY lang
+  UNION ALL
+  SELECT lang, level + 1, {above} FROM trees WHERE len(nodes) > 1
+), subroots AS (
+  SELECT lang, nodes[1] AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS place FROM trees WHERE len(nodes) = 1
+), tops AS (
+  SELECT 0 AS level, list(subroot ORDER BY place) AS nodes FROM subroots
+  UNION ALL
+  SELECT level + 1, {above} FROM tops WHERE len(nodes) > 1
+), upper_steps AS (
+  SELECT s.lang, coalesce(list({step} ORDER BY level) FILTER (len(nodes) > 1), []) AS upper
+  FROM subroots s CROSS JOIN tops GROUP BY s.lang
+), steps AS (
+  SELECT p.doc_id, p.lang, p.leaf, p.now, p.place,
+    coalesce(list({step.replace("place", "p.place")} ORDER BY level) FILTER (len(nodes) > 1), []) AS lower
+  FROM placed p JOIN trees t ON t.lang IS NOT DISTINCT FROM p.lang GROUP BY ALL
+), paths AS (
+  SELECT s.doc_id, s.leaf, s.now, r.subroot, (SELECT nodes[1] FROM tops WHERE len(nodes) = 1) AS root,
+    list_concat(s.lower, u.upper) AS steps
+  FROM steps s JOIN subroots r ON r.lang IS NOT DISTINCT FROM s.lang JOIN upper_steps u ON u.lang IS NOT DISTINCT FROM s.lang
+), folded AS (
+  SELECT *, {fold.format(start="now")} AS folded_root FROM paths
+)
+SELECT doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(steps, lambda s: s[2:]), '')) AS proof_sha256,
+  folded_root, folded_root = root AS verified
+FROM folded
+"""
+
+
+ORACLE["op13_merkle_manifest"] = _merkle_sql()
