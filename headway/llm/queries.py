@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from headway.llm import (
     bpe,
+    byte_bpe,
     decontaminate,
     language,
     lines,
@@ -152,6 +153,17 @@ def op10_quality(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def op12_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    coded = byte_bpe.encode_decode(table(spark, sf, "documents"), vocabulary("byte_bpe_50k.tiktoken"))
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 @query
 def op13_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
     manifest = merkle.build_manifest(merkle.leaf_rows(table(spark, sf, "documents")))
