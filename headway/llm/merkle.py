@@ -6,8 +6,8 @@ own, until one is left, the subroot. The subroots, in the order of their languag
 tree, whose top is the root of the manifest.
 
 What is stored are records from a digest to its children. Records travel in pages, the ``LEVELS`` levels
-below one digest, kept once a digest, so that a page holds at most ``SPAN`` leaves and the largest language
-is only more pages. A request starts at the root and goes down by the binary digits of its rank, keeps the
+below one digest, kept once a digest, so that a page holds at most 2**``LEVELS`` leaves and the largest
+language is only more pages. A request starts at the root and goes down by the binary digits of its rank, keeps the
 child that it does not choose at every record, and has its path in the end by reversing the segments.
 Requests to the same page below go together: a page is asked once a place, not once a leaf, so no digest
 near the root meets all rows. The number of rounds is that of the page levels, the logarithm of the largest
@@ -31,7 +31,6 @@ from pyspark.sql.window import Window
 from headway.session import durable, shuffle_tasks
 
 LEVELS = 8
-SPAN = 1 << LEVELS
 #: Ranked rows of one task.
 TASK_ROWS = 1 << 20
 ALONE, LEFT, RIGHT = "", "<", ">"
@@ -44,9 +43,9 @@ def digest_of(digests: list[str]) -> str:
     return hashlib.sha256("".join(digests).encode("ascii")).hexdigest()
 
 
-def levels_of(total: int) -> int:
-    """How many levels of one page lie over ``total`` digests."""
-    return min(LEVELS, (total - 1).bit_length())
+def levels_of(total: int, most: int) -> int:
+    """How many levels, at most ``most``, of one page lie over ``total`` digests."""
+    return min(most, (total - 1).bit_length())
 
 
 def _field(value: Column) -> Column:
@@ -105,8 +104,8 @@ def ranked(rows: DataFrame, order: list[str], tasks: int) -> DataFrame:
     return joined.select(*rows.columns, (F.col("_at") + F.col("_shift")).alias("rank"), "total")
 
 
-def _pages(nodes: DataFrame) -> DataFrame:
-    """(tree, block, total, digest, records, members) of every run of ``SPAN`` digests of a tree.
+def _pages(nodes: DataFrame, most: int) -> DataFrame:
+    """(tree, block, total, digest, records, members) of every run of 2**``most`` digests of a tree.
 
     ``nodes``: tree, rank, digest, total, and ``carried``, a struct that the members keep.
     """
@@ -116,7 +115,7 @@ def _pages(nodes: DataFrame) -> DataFrame:
             digests, records = [], []
             for members, total in zip(batch.column("members").to_pylist(), batch.column("total").to_pylist()):
                 level, found = [m["digest"] for m in members], {}
-                for _ in range(levels_of(total)):
+                for _ in range(levels_of(total, most)):
                     above = []
                     for i in range(0, len(level), 2):
                         children = level[i : i + 2]
@@ -132,7 +131,7 @@ def _pages(nodes: DataFrame) -> DataFrame:
                 ["tree", "block", "total", "digest", "records", "members"],
             )
 
-    grouped = nodes.groupBy("tree", F.shiftright("rank", LEVELS).alias("block")).agg(
+    grouped = nodes.groupBy("tree", F.shiftright("rank", most).alias("block")).agg(
         F.first("total").alias("total"),
         F.sort_array(F.collect_list(F.struct("rank", "digest", "carried"))).alias("members"),
     ).select("tree", "block", "total", "members")
@@ -140,28 +139,29 @@ def _pages(nodes: DataFrame) -> DataFrame:
     return grouped.mapInArrow(build, f"tree string, block long, total long, digest string, records {RECORDS}, members {kind}")
 
 
-def _trees(leaves: DataFrame) -> list[DataFrame]:
+def _trees(leaves: DataFrame, most: int) -> list[DataFrame]:
     """The pages over ``leaves`` (tree, rank, digest, total, carried), band by band from the bottom."""
+    span = 1 << most
     largest = leaves.agg(F.max("total")).first()[0]
     bands, nodes = [], leaves
     while largest is not None:
-        bands.append(durable(_pages(nodes)))
-        if largest <= SPAN:
+        bands.append(durable(_pages(nodes, most)))
+        if largest <= span:
             break
-        largest = -(-largest // SPAN)
-        nodes = bands[-1].filter(F.col("total") > SPAN).select(
+        largest = -(-largest // span)
+        nodes = bands[-1].filter(F.col("total") > span).select(
             "tree", F.col("block").alias("rank"), "digest",
-            F.expr(f"(total + {SPAN - 1}) div {SPAN}").alias("total"),
+            F.expr(f"(total + {span - 1}) div {span}").alias("total"),
             F.lit(None).cast("struct<none:int>").alias("carried"),
         )
     return bands
 
 
-def _tops(bands: list[DataFrame]) -> DataFrame | None:
+def _tops(bands: list[DataFrame], most: int) -> DataFrame | None:
     """(tree, digest) of the last page of every tree."""
     tops = None
     for pages in bands:
-        found = pages.filter(F.col("total") <= SPAN).select("tree", "digest")
+        found = pages.filter(F.col("total") <= 1 << most).select("tree", "digest")
         tops = found if tops is None else tops.unionAll(found)
     return tops
 
@@ -172,6 +172,7 @@ class Manifest:
 
     bands: list[DataFrame]
     top: list[DataFrame]
+    levels: int = LEVELS
 
     def records(self) -> DataFrame | None:
         """(digest, children), each digest once."""
@@ -186,22 +187,26 @@ class Manifest:
         return self.top[-1].first().digest if self.top else None
 
 
-def build_manifest(leaves: DataFrame) -> Manifest:
-    """The manifest of ``leaves`` as ``leaf_rows`` gives them; runs jobs and stores what it makes."""
+def build_manifest(leaves: DataFrame, levels: int = LEVELS) -> Manifest:
+    """The manifest of ``leaves`` as ``leaf_rows`` gives them; runs jobs and stores what it makes.
+
+    ``levels``: those of a page. The digests are the same whatever it is.
+    """
     tasks = shuffle_tasks(leaves.sparkSession)
     stored = durable(leaves)  # the texts are read once
     rows = stored.count()
     placed = ranked(stored, ["doc_id", "leaf"], max(tasks, -(-rows // TASK_ROWS)))
     carried = F.struct("doc_id", "altered").alias("carried")
-    bands = _trees(placed.select("tree", "rank", F.col("leaf").alias("digest"), "total", carried))
+    bands = _trees(placed.select("tree", "rank", F.col("leaf").alias("digest"), "total", carried), levels)
     if not bands:
-        return Manifest([], [])
+        return Manifest([], [], levels)
     # The subroots are the leaves of one more tree.
-    roots = durable(_tops(bands).select(F.lit("").alias("tree"), F.col("tree").alias("language"), "digest"))
+    roots = durable(_tops(bands, levels).select(F.lit("").alias("tree"), F.col("tree").alias("language"), "digest"))
     count = roots.count()
     placed = ranked(roots, ["language"], max(1, -(-count // TASK_ROWS)))
     carried = F.struct("language").alias("carried")
-    return Manifest(bands, _trees(placed.select("tree", "rank", "digest", "total", carried)))
+    top = _trees(placed.select("tree", "rank", "digest", "total", carried), levels)
+    return Manifest(bands, top, levels)
 
 
 def _descend(page: dict[str, list[str]], digest: str, k: int, levels: int) -> tuple[str, list[str]]:
@@ -225,7 +230,7 @@ def _asked(requests: DataFrame, pages: DataFrame) -> DataFrame:
     return requests.join(members, ["tree", "block"]).join(store, "digest")
 
 
-def _walk(bands: list[DataFrame], starts: DataFrame) -> DataFrame:
+def _walk(bands: list[DataFrame], starts: DataFrame, most: int) -> DataFrame:
     """From the tops of the trees to the requests of their lowest pages, with members and records.
 
     ``starts``: tree, digest, path and further columns. A tree is joined at the band that holds its top.
@@ -234,7 +239,7 @@ def _walk(bands: list[DataFrame], starts: DataFrame) -> DataFrame:
     requests = None
     for at in reversed(range(len(bands))):
         pages = bands[at]
-        first = pages.filter(F.col("total") <= SPAN).select("tree", F.lit(0).cast("long").alias("block"))
+        first = pages.filter(F.col("total") <= 1 << most).select("tree", F.lit(0).cast("long").alias("block"))
         entering = starts.join(first, "tree").select("tree", "block", "digest", "path", *extra)
         requests = entering if requests is None else requests.unionByName(entering)
         asked = _asked(requests, pages)
@@ -248,9 +253,9 @@ def _walk(bands: list[DataFrame], starts: DataFrame) -> DataFrame:
                 for row, (block, digest, path, total, members, records) in enumerate(zip(*columns)):
                     page = {r["digest"]: r["children"] for r in records}
                     for k in range(len(members)):
-                        child, segment = _descend(page, digest, k, levels_of(total))
+                        child, segment = _descend(page, digest, k, levels_of(total, most))
                         index.append(row)
-                        blocks.append(block * SPAN + k)
+                        blocks.append((block << most) + k)
                         digests.append(child)
                         paths.append(path + segment)
                 taken = [batch.column(c).take(pa.array(index, pa.int64())) for c in ("tree", *extra)]
@@ -266,8 +271,8 @@ def _walk(bands: list[DataFrame], starts: DataFrame) -> DataFrame:
 
 def _subroot_requests(manifest: Manifest) -> DataFrame:
     """(tree, digest, path, root): every language's subroot, reached from the root."""
-    starts = manifest.top[-1].select("tree", "digest", F.lit(None).cast("array<string>").alias("path"))
-    starts = starts.withColumn("path", F.array().cast("array<string>")).withColumn("root", F.col("digest"))
+    starts = manifest.top[-1].select("tree", "digest", F.array().cast("array<string>").alias("path"), F.col("digest").alias("root"))
+    most = manifest.levels
 
     def reach(batches):
         for batch in batches:
@@ -276,7 +281,7 @@ def _subroot_requests(manifest: Manifest) -> DataFrame:
             for digest, path, root, total, members, records in zip(*columns):
                 page = {r["digest"]: r["children"] for r in records}
                 for k, member in enumerate(members):
-                    child, segment = _descend(page, digest, k, levels_of(total))
+                    child, segment = _descend(page, digest, k, levels_of(total, most))
                     out.append((member["carried"]["language"], child, path + segment, root))
             kinds = [pa.string(), pa.string(), pa.list_(pa.string()), pa.string()]
             values = zip(*out) if out else ([], [], [], [])
@@ -284,7 +289,7 @@ def _subroot_requests(manifest: Manifest) -> DataFrame:
                 [pa.array(list(v), kind) for v, kind in zip(values, kinds)], ["tree", "digest", "path", "root"]
             )
 
-    return _walk(manifest.top, starts).mapInArrow(reach, "tree string, digest string, path array<string>, root string")
+    return _walk(manifest.top, starts, most).mapInArrow(reach, "tree string, digest string, path array<string>, root string")
 
 
 def siblings_of(path: list[str]) -> list[str]:
@@ -313,7 +318,7 @@ def prove(manifest: Manifest, spark, paths: bool = False) -> DataFrame:
 
     ``paths`` adds the steps down from the root: ``<`` or ``>`` and the sibling at that side, or nothing.
     """
-    columns = {**PROOF, **(PATH if paths else {})}
+    columns, most = {**PROOF, **(PATH if paths else {})}, manifest.levels
     fields = ", ".join(f"{name} {kind}" for name, (kind, _) in columns.items())
     if not manifest.bands:
         return spark.createDataFrame([], fields)
@@ -325,7 +330,7 @@ def prove(manifest: Manifest, spark, paths: bool = False) -> DataFrame:
             for digest, subroot, path, root, total, members, records in zip(*(batch.column(c).to_pylist() for c in names)):
                 page = {r["digest"]: r["children"] for r in records}
                 for k, member in enumerate(members):
-                    leaf, segment = _descend(page, digest, k, levels_of(total))
+                    leaf, segment = _descend(page, digest, k, levels_of(total, most))
                     steps = path + segment
                     folded = fold(member["carried"]["altered"] or leaf, steps)
                     proof = digest_of(siblings_of(steps))
@@ -337,4 +342,4 @@ def prove(manifest: Manifest, spark, paths: bool = False) -> DataFrame:
             )
 
     starts = _subroot_requests(manifest).withColumn("subroot", F.col("digest"))
-    return _walk(manifest.bands, starts).mapInArrow(verify, fields)
+    return _walk(manifest.bands, starts, most).mapInArrow(verify, fields)

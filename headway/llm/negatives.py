@@ -111,7 +111,8 @@ class Block:
         self.ids, self.labels = column("vec_id"), column("label")
         self.aligned, self.residual = column("aligned"), column("residual")
         self.vectors = table.column("vector").combine_chunks().flatten().to_numpy().reshape(-1, dim)
-        self.codes = flat_bytes(table.column("code").combine_chunks())[0].view(np.uint64).reshape(len(self.ids), -1)
+        codes = flat_bytes(table.column("code").combine_chunks())[0]
+        self.codes = codes.view(np.uint64).reshape(-1, -(-dim // 64))
         self.ones = np.bitwise_count(self.codes).sum(axis=1, dtype=np.int64)
         self.largest = int(np.abs(self.vectors).max(initial=0))
 
@@ -159,14 +160,16 @@ class Anchors:
         centre = aligned * along
         return centre - half, centre + half
 
-    def search(self, block: Block, rows: np.ndarray, mine: np.ndarray, same: bool) -> int:
+    def search(
+        self, block: Block, rows: np.ndarray, mine: np.ndarray, same: bool, tile: int = TILE, tile_rows: int = TILE_ROWS
+    ) -> int:
         """Bring the best scores up to date with ``rows`` of a block; how many pairs were scored."""
-        scored, size = 0, max(1, TILE // TILE_ROWS)
+        scored, size = 0, max(1, tile // tile_rows)
         for start in range(0, len(mine), size):
             anchors = mine[start : start + size]
             part = self._take(anchors)
-            for first in range(0, len(rows), TILE_ROWS):
-                scored += part._tile(block, rows[first : first + TILE_ROWS], same)
+            for first in range(0, len(rows), tile_rows):
+                scored += part._tile(block, rows[first : first + tile_rows], same)
             self.scores[anchors], self.found[anchors] = part.scores, part.found
         return scored
 
