@@ -11,17 +11,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from checks.tables import hourly_since, over, sql_case, sql_in, sql_list
+from checks.tables import LINE, hourly_since, over, sql_case, sql_in, sql_list
 from headway import network
 from headway.functions import columns as C
 from headway.operators import anomaly, distribution, frames, ingest, quality, stats, tiles, waits
 from headway.plans import extracts, marts, models, report
 from headway.schemas import RAW_COLUMNS
 from headway.session import durable, ensure_checkpoint_dir
+from headway.sources import batches
 from headway.sources import events as sample
 from headway.sources import raw as raw_table
 from headway.sources.schedules import read_schedule_batch, read_schedule_stream
-from headway.streaming.ingest import ONCE, follow_ingest, start_ingest, start_rejects
+from headway.streaming.ingest import ONCE, follow_ingest, follow_outcomes, start_ingest, start_outcomes, start_rejects
 
 AS_OF = "2024-01-30 12:00:00"
 AS_OF_DATE = "2024-01-30"
@@ -77,10 +78,15 @@ def scratch(spark: SparkSession, what: str) -> str:
     return os.path.join(ensure_checkpoint_dir(spark), f"{what}-{uuid.uuid4().hex}")
 
 
+def land(docs: DataFrame, path: str) -> None:
+    """More documents into a folder, as JSON files."""
+    zoned(docs).write.mode("append").option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").json(path)
+
+
 def landed(spark: SparkSession, sf: str) -> str:
     """The documents of the events, landed as JSON files."""
     path = scratch(spark, "landing")
-    zoned(envelopes(spark, sf)).write.option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").json(path)
+    land(envelopes(spark, sf), path)
     return path
 
 
@@ -216,6 +222,99 @@ def ingest_stream_rejects(spark, sf):
     return zoneless(spark.read.parquet(path).drop("payload", "fetched_date"))
 
 
+TYPED_COLUMNS = [
+    "line_code", "station_code", "fetched_at", "direction", "time_remaining", "arrival_time", "platform", "reason"
+]
+# The documents of ``typed_envelopes_from_events``: what is in them, without the JSON around it.
+TYPED = f"""typed AS (
+  SELECT line_code, station_code, ts AS fetched_at,
+         CASE WHEN reason IN ('bad_sequence', 'wrong_type') THEN NULL ELSE 'UP' END AS direction,
+         CASE WHEN reason IN ('bad_sequence', 'wrong_type') THEN NULL ELSE CAST(wait * 60 AS VARCHAR) END AS time_remaining,
+         CASE WHEN reason IN ('bad_sequence', 'wrong_type') OR event_id % 5 = 3 THEN NULL
+              WHEN event_id % 5 < 2 THEN date_trunc('second', ts) ELSE ts END AS arrival_time,
+         CASE WHEN reason IN ('bad_sequence', 'wrong_type') THEN NULL ELSE CAST(event_id % 4 AS VARCHAR) END AS platform,
+         reason
+  FROM (
+    SELECT *, CASE WHEN event_id % 7 = 3 THEN 'bad_sequence'
+                   WHEN event_id % 8 = 6 THEN 'wrong_type'
+                   WHEN event_id % 8 = 2 THEN 'bad_wait'
+                   WHEN event_id % 8 = 4 THEN 'negative_wait'
+                   WHEN event_id % 5 = 3 THEN 'wrong_type' END AS reason
+    FROM (
+      SELECT *, {sql_case("line_code", {k: v[0] for k, v in network.LINE_STATIONS.items()}, "none")} AS station_code,
+             CASE event_id % 8 WHEN 0 THEN steps WHEN 1 THEN steps WHEN 3 THEN 1
+                  WHEN 4 THEN -CAST('1' || steps AS BIGINT) WHEN 5 THEN steps WHEN 7 THEN steps * 10 END AS wait
+      FROM (SELECT *, {LINE} AS line_code, CAST(floor(value / 10) AS BIGINT) AS steps FROM events)
+    )
+  )
+  WHERE station_code <> 'none'
+)"""
+
+_REJECTS = """SELECT line_code, station_code, ts AS fetched_at, NULL::VARCHAR AS direction, fault AS reason
+           FROM documents WHERE known AND fault <> 'empty'
+           UNION ALL
+           SELECT line_code, station_code, ts, 'UP', up_fault
+           FROM documents WHERE known AND fault IS NULL AND up_fault IS NOT NULL
+           UNION ALL
+           SELECT line_code, station_code, ts, NULL, 'unlisted_station' FROM documents WHERE NOT known"""
+
+
+def drained(spark: SparkSession, sf: str) -> tuple[str, dict]:
+    """The table that a stream of many micro-batches leaves, ended and taken up again; its last summary."""
+    landing, path, offsets = scratch(spark, "landing"), scratch(spark, "raw"), scratch(spark, "offsets")
+    for part in range(2):
+        land(envelopes(spark, sf).filter(F.crc32("payload") % 2 == part).repartitionByRange(3, "fetched_at"), landing)
+        query = start_outcomes(read_schedule_stream(spark, landing, 1), path, offsets, ONCE)
+        summary = follow_outcomes(spark, query, path)
+    return path, summary
+
+
+@case(over("arrived", f"SELECT {RAW_LIST} FROM arrived"))
+def ingest_stream_compacted(spark, sf):
+    """The documents streamed in many micro-batches, the closed days compacted, the last day left as it came."""
+    path, _ = drained(spark, sf)
+    last = max(e.last_day for e in batches.ledger(spark, path))
+    batches.compact(spark, path, before=last)
+    return zoneless(batches.read_accepted(spark, path))
+
+
+@case(over("documents", _REJECTS))
+def ingest_stream_compacted_rejects(spark, sf):
+    """What the same stream rejected, from the same parse and the same commits; all days compacted."""
+    path, _ = drained(spark, sf)
+    batches.compact(spark, path)
+    return zoneless(batches.read_rejects(spark, path).drop("payload"))
+
+
+@case(
+    over(
+        "arrived",
+        f"""SELECT 'success' AS status, (SELECT count(*) FROM arrived) AS total_inserted, count(*) AS total_rejected
+            FROM ({_REJECTS})""",
+    )
+)
+def ingest_stream_totals(spark, sf):
+    """The totals of both runs of the stream, from the ledger."""
+    _, summary = drained(spark, sf)
+    row = (summary["status"], summary["total_inserted"], summary["total_rejected"])
+    return spark.createDataFrame([row], "status string, total_inserted bigint, total_rejected bigint")
+
+
+@case(
+    over(
+        "documents",
+        f"SELECT {names(TYPED_COLUMNS)} FROM typed",
+        more=TYPED,
+    )
+)
+def ingest_typed_values(spark, sf):
+    """Documents with numbers, fractions, booleans, signs, lists and times of any width, from one parse."""
+    docs = sample.typed_envelopes_from_events(table(spark, sf, "events"))
+    rows = ingest.outcomes(docs).withColumnRenamed("ingestion_timestamp", "fetched_at")
+    rows = rows.withColumn("time_remaining", F.col("time_remaining").cast("string"))
+    return rows.select(*TYPED_COLUMNS)
+
+
 @case(over("raw", f"""SELECT line_code, {sql_case("line_code", network.LINE_NAMES, "none")} AS line_name, count(*) AS n
                       FROM raw WHERE line_code <> 'XXX' GROUP BY line_code"""))
 def line_reference(spark, sf):

@@ -1,6 +1,7 @@
 """Command line, for ``spark-submit`` or ``python -m headway``.
 
-    ingest  landed schedule documents into the raw table, once or continuously
+    ingest  landed schedule documents into the raw table, once or continuously, with what was rejected
+    compact fold the micro-batches of closed days into few clustered files
     marts   rebuild the mart tables from the raw table
     check   run the data-quality checks; exit status 1 if any row fails, 2 if a check could not be run
     report  one page of statistics, printed whole or written to a folder
@@ -12,18 +13,22 @@ import argparse
 import datetime as dt
 import json
 import sys
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from headway import get_session
-from headway.operators.ingest import arrivals_from_schedules, rejected_documents
 from headway.operators.quality import run_checks
 from headway.plans.marts import build_marts, read_marts
 from headway.plans.models import STAGING_COLUMNS, stg_arrivals
 from headway.plans.report import DAYS_BACK, HOURS_BACK, build_report
 from headway.schemas import EXTENDED_RAW, RAW
 from headway.session import GIB, fit_session
+from headway.sources.batches import compact, is_batch_table, read_accepted
 from headway.sources.raw import read_raw, read_raw_table
 from headway.sources.schedules import read_schedule_stream
-from headway.streaming.ingest import ONCE, POLL_INTERVAL, follow_ingest, start_ingest, start_rejects
+from headway.streaming.ingest import ONCE, POLL_INTERVAL, follow_outcomes, start_outcomes
 
 
 #: Copies of one time are told apart by all their values, so that every command keeps the same one.
@@ -45,11 +50,16 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     ingest.add_argument("--landing", required=True, help="folder of landed documents")
     ingest.add_argument("--raw", required=True, help="folder of the raw table")
     ingest.add_argument("--checkpoint", required=True, help="folder of the stream's state")
-    ingest.add_argument("--rejects", help="folder for rejected documents; default none are kept")
+    ingest.add_argument("--archive", help="folder outside the landing one, for documents that were read")
     ingest.add_argument("--continuous", action="store_true", help="go on polling instead of draining once")
     ingest.add_argument("--interval", default=POLL_INTERVAL)
     ingest.add_argument("--lines", help="comma-separated line codes; default all")
     ingest.add_argument("--max-files", type=int, help="documents files per micro-batch")
+    ingest.add_argument("--max-bytes", type=int, help="bytes of documents per micro-batch")
+
+    folds = commands.add_parser("compact")
+    folds.add_argument("--raw", required=True, help="folder of the raw table that ingest writes")
+    folds.add_argument("--before", type=dt.date.fromisoformat, help="first day that is still open; default none is")
 
     marts = commands.add_parser("marts")
     _raw_arguments(marts)
@@ -78,6 +88,15 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     return parser.parse_args(argv)
 
 
+def _read_folders(spark: SparkSession, paths: list[str], schema: T.StructType) -> DataFrame:
+    """Raw tables in folders, whether ``ingest`` or ``append_raw`` wrote them."""
+    parts = [
+        read_accepted(spark, path) if schema is RAW and is_batch_table(spark, path) else read_raw(spark, path, schema=schema)
+        for path in paths
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _split(text: str | None) -> list[str]:
     return text.split(",") if text else []
 
@@ -87,24 +106,17 @@ def main(argv: list[str] | None = None) -> int:
     input_bytes = args.input_gib * GIB if args.input_gib else None
     spark = get_session(f"headway-{args.command}", input_bytes=input_bytes)
     if args.command == "ingest":
-        stream = read_schedule_stream(spark, args.landing, args.max_files)
-        arrivals = arrivals_from_schedules(stream, lines=_split(args.lines) or None)
+        stream = read_schedule_stream(spark, args.landing, args.max_files, args.max_bytes, args.archive)
         trigger = args.interval if args.continuous else ONCE
-        queries = {"arrivals": start_ingest(arrivals, args.raw, args.checkpoint, trigger)}
-        if args.rejects:
-            again = read_schedule_stream(spark, args.landing, args.max_files)
-            rejects = rejected_documents(again, lines=_split(args.lines) or None)
-            queries["rejects"] = start_rejects(rejects, args.rejects, f"{args.checkpoint}-rejects", trigger)
-        summary = follow_ingest(queries["arrivals"])
-        if args.rejects:
-            lost = follow_ingest(queries["rejects"])
-            summary["rejected"] = lost["inserted"]
-            if lost["status"] != "success":
-                summary["status"] = lost["status"]
+        query = start_outcomes(stream, args.raw, args.checkpoint, trigger, lines=_split(args.lines) or None)
+        summary = follow_outcomes(spark, query, args.raw)
         print(json.dumps(summary))
         return 0 if summary["status"] == "success" else 1
+    if args.command == "compact":
+        print(json.dumps(compact(spark, args.raw, args.before)))
+        return 0
     schema = EXTENDED_RAW if args.command == "report" and args.delays else RAW
-    raw = read_raw(spark, *args.raw, schema=schema) if args.raw else read_raw_table(spark, *args.table, schema=schema)
+    raw = _read_folders(spark, args.raw, schema) if args.raw else read_raw_table(spark, *args.table, schema=schema)
     if input_bytes is None:
         fit_session(raw)
     if args.command == "marts":

@@ -1,8 +1,12 @@
 """Schedule documents to arrival rows, as column expressions: the same plan for batch and stream.
 
 One row comes out per direction, for the first train of that direction. A damaged value costs its
-direction only, except a bad sequence number anywhere, or a null wait on a first train, which
-cost the whole document. ``rejected`` lists what was lost and why.
+direction only, except a bad sequence number anywhere, or a null or wrongly typed value of a first train,
+which cost the whole document. ``rejected`` lists what was lost and why, ``outcomes`` both from one parse.
+
+Values keep their JSON type. An integer is due for the sequence and the wait: a number is cut towards zero, a
+boolean counts as 1 or 0, a text must be an integer. A time is a text of which every part but the year may
+have one digit; a missing, null, empty, zero or false one means the time of the fetch.
 """
 
 from __future__ import annotations
@@ -15,9 +19,10 @@ from pyspark.sql import functions as F
 
 from headway import network
 from headway.functions.columns import lookup
-from headway.schemas import RAW_COLUMNS, SCHEDULE
+from headway.schemas import OUTCOMES, RAW_COLUMNS, REJECT_COLUMNS, SCHEDULE
 
-TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"  # fixed value
+TIME_FORMAT = "y-M-d H:m:s"  # parts may have one digit
+TIME_PATTERN = r"^\d{4}-\d{1,2}-\d{1,2}\s+\d{1,2}:\d{1,2}:\d{1,2}$"
 NO_SEQUENCE = -(2**63)  # marks a sequence number that cannot be read; less than any other
 
 
@@ -26,20 +31,47 @@ def parse_payload(envelopes: DataFrame) -> DataFrame:
     return envelopes.withColumn("schedule", F.from_json("payload", SCHEDULE))
 
 
+def _value(train: Column, key: str) -> Column:
+    """A train's value with its JSON type, null if the key is absent."""
+    return F.try_element_at(train, F.lit(key))
+
+
 def _text_or(train: Column, key: str, default: str) -> Column:
-    """A train's value; ``default`` if the key is absent, null if it is there and null."""
-    return F.coalesce(
-        F.try_element_at(train, F.lit(key)), F.when(~F.map_contains_key(train, key), F.lit(default))
-    )
+    """A train's value as text; ``default`` if the key is absent, null if it is there and null."""
+    text = F.try_variant_get(_value(train, key), "$", "string")
+    return F.coalesce(text, F.when(~F.map_contains_key(train, key), F.lit(default)))
+
+
+def _integer(train: Column, key: str) -> Column:
+    """A train's value as an integer: 0 if the key is absent, null if it is none."""
+    number = F.try_variant_get(_value(train, key), "$", "bigint")
+    return F.coalesce(number, F.when(~F.map_contains_key(train, key), F.lit(0).cast("bigint")))
 
 
 def _sequence(train: Column) -> Column:
     """Sequence number, 0 if absent, ``NO_SEQUENCE`` if it is not an integer."""
-    unusable = train.isNull() | F.map_contains_key(train, "seq")
-    return F.coalesce(
-        F.try_element_at(train, F.lit("seq")).try_cast("bigint"),
-        F.when(unusable, F.lit(NO_SEQUENCE)).otherwise(F.lit(0).cast("bigint")),
-    )
+    return F.when(train.isNull(), F.lit(NO_SEQUENCE)).otherwise(F.coalesce(_integer(train, "seq"), F.lit(NO_SEQUENCE)))
+
+
+def _is_nested(kind: Column) -> Column:
+    return kind.startswith("ARRAY") | kind.startswith("OBJECT")
+
+
+def _wait_fault(train: Column) -> Column:
+    """Why a wait costs the whole document, null if it does not."""
+    value = _value(train, "ttnt")
+    return F.when(F.is_variant_null(value), "null_wait").when(_is_nested(F.schema_of_variant(value)), "wrong_type")
+
+
+def _clock(train: Column) -> Column:
+    """A train's time as text, empty where the time of the fetch is meant, null where it has another type."""
+    value = _value(train, "time")
+    text, kind = F.try_variant_get(value, "$", "string"), F.schema_of_variant(value)
+    unset = value.isNull() | F.is_variant_null(value) | text.isin("", "false", "[]", "{}")
+    zero = F.coalesce(F.try_variant_get(value, "$", "double") == 0, F.lit(False))
+    # A text that says "false" or "[]" is a text, and no time.
+    said = (kind == "STRING") & (text != "")
+    return F.when(F.coalesce(said, F.lit(False)), text).when(unset | zero, "")
 
 
 def _of(direction: str, step: str) -> Column:
@@ -59,10 +91,16 @@ def _in_either(step: str, test=lambda column: column) -> Column:
 def _first_trains(envelopes: DataFrame) -> DataFrame:
     """Documents with the first train of each direction and ``fault``, the reason to drop them whole.
 
-    Each step is a projection of its own, so the JSON text and the lists are gone through once.
+    Each step is a projection of its own, so the JSON text and the lists are gone through once. A document
+    with a reason in ``barred`` is not parsed.
     """
     key = F.concat_ws("-", "line_code", "station_code")
-    docs = parse_payload(envelopes).withColumn("board", F.try_element_at("schedule.data", key))
+    stamp = F.col("fetched_at")
+    stamp_type = envelopes.schema["fetched_at"].dataType
+    barred = F.col("barred") if "barred" in envelopes.columns else F.lit(None).cast("string")
+    text = F.when(barred.isNull(), F.col("payload"))
+    docs = envelopes.withColumns({"barred": barred, "schedule": F.from_json(text, SCHEDULE)})
+    docs = docs.withColumn("board", F.try_element_at("schedule.data", key))
     docs = _both(docs, "trains", lambda d: F.col(f"board.{d}"))
     docs = _both(docs, "order", lambda d: F.transform(_of(d, "trains"), _sequence))
     docs = _both(docs, "least", lambda d: F.array_min(_of(d, "order")))
@@ -71,18 +109,30 @@ def _first_trains(envelopes: DataFrame) -> DataFrame:
         d: F.array_position(_of(d, "order"), _of(d, "least")).cast("int") for d in network.DIRECTIONS
     }
     docs = _both(docs, "train", lambda d: F.try_element_at(_of(d, "trains"), position[d]))
+    docs = _both(docs, "wait_fault", lambda d: _wait_fault(_of(d, "train")))
+    docs = _both(docs, "wait", lambda d: F.try_multiply(_integer(_of(d, "train"), "ttnt"), F.lit(60).cast("bigint")))
+    docs = _both(docs, "clock", lambda d: _clock(_of(d, "train")))
     docs = _both(
         docs,
-        "null_wait",
-        lambda d: F.try_element_at(_of(d, "train"), F.lit("ttnt")).isNull()
-        & F.map_contains_key(_of(d, "train"), "ttnt"),
+        "time",
+        lambda d: F.when(_of(d, "clock") == "", stamp).otherwise(
+            F.try_to_timestamp(
+                F.regexp_replace(F.when(_of(d, "clock").rlike(TIME_PATTERN), _of(d, "clock")), r"\s+", " "),
+                F.lit(TIME_FORMAT),
+            ).cast(stamp_type)
+        ),
     )
     unreadable = F.col("schedule.data").isNull() & F.col("schedule._corrupt_record").isNotNull()
+    # The time is looked at only after the wait was found good.
+    timeless = [(F.size(_of(d, "train")) > 0) & (_of(d, "wait") >= 0) & _of(d, "clock").isNull() for d in network.DIRECTIONS]
     return docs.withColumn(
         "fault",
-        F.when(unreadable, "unparsable_payload")
+        F.when(F.col("barred").isNotNull(), F.col("barred"))
+        .when(unreadable, "unparsable_payload")
         .when(_in_either("least", lambda least: least == NO_SEQUENCE), "bad_sequence")
-        .when(_in_either("null_wait"), "null_wait"),
+        .when(_in_either("wait_fault", lambda fault: fault == "null_wait"), "null_wait")
+        .when(_in_either("wait_fault", lambda fault: fault.isNotNull()), "wrong_type")
+        .when(reduce(lambda a, b: a | b, [F.coalesce(t, F.lit(False)) for t in timeless]), "wrong_type"),
     )
 
 
@@ -109,26 +159,8 @@ def _readings(envelopes: DataFrame) -> DataFrame:
     A document dropped whole gives one row without direction. The rows leave through a generator:
     Spark would push a filter on plain columns below all these projections and evaluate them twice.
     """
-    stamp = F.col("fetched_at")
     stamp_type = envelopes.schema["fetched_at"].dataType
     docs = _first_trains(envelopes)
-    docs = _both(
-        docs, "clock", lambda d: F.coalesce(F.try_element_at(_of(d, "train"), F.lit("time")), F.lit(""))
-    )
-    docs = _both(
-        docs,
-        "time",
-        lambda d: F.when(_of(d, "clock") == "", stamp).otherwise(
-            F.try_to_timestamp(_of(d, "clock"), F.lit(TIME_FORMAT)).cast(stamp_type)
-        ),
-    )
-    docs = _both(
-        docs,
-        "wait",
-        lambda d: F.try_multiply(
-            _text_or(_of(d, "train"), "ttnt", "0").try_cast("bigint"), F.lit(60).cast("bigint")
-        ),
-    )
     blank = {
         "direction": "string",
         "time_remaining": "bigint",
@@ -192,6 +224,45 @@ def rejected(envelopes: DataFrame) -> DataFrame:
     )
 
 
+def outcomes(
+    envelopes: DataFrame,
+    network_pairs: DataFrame | None = None,
+    lines: Iterable[str] | None = None,
+    random_ids: bool = False,
+) -> DataFrame:
+    """All that becomes of the documents, from one parse: the rows of ``arrivals_from_schedules``, without a
+    ``reason``, and those of ``rejected_documents``, with one and with the ``payload``.
+
+    Rejects have the time of the fetch as their ingestion time, and no arrival id.
+    """
+    if lines is not None:
+        envelopes = envelopes.filter(F.col("line_code").isin(list(lines)) | F.col("line_code").isNull())
+    keys = ["line_code", "station_code"]
+    if network_pairs is None:
+        pairs = F.broadcast(network.station_reference(envelopes.sparkSession).select(*keys, F.lit(True).alias("listed")))
+    else:
+        pairs = network_pairs.select(*keys).distinct().withColumn("listed", F.lit(True))
+    blank = F.coalesce("line_code", "station_code", "payload").isNull()
+    barred = F.when(blank, "unreadable_envelope").when(F.col("listed").isNull(), "unlisted_station")
+    marked = envelopes.join(pairs, keys, "left").withColumn("barred", barred).drop("listed")
+    good = F.col("reason").isNull()
+    rows = _readings(marked).withColumns(
+        {
+            "arrival_id": F.when(good, _arrival_id(random_ids)),
+            "sequence": F.when(good, F.lit(1).cast("bigint")),
+            "ingestion_timestamp": F.col("fetched_at"),
+            "ingestion_date": F.to_date("fetched_at"),
+            "payload": F.when(~good, F.col("payload")),
+        }
+    )
+    return with_line_name(rows).select(*OUTCOMES.fieldNames())
+
+
+def as_rejects(rows: DataFrame) -> DataFrame:
+    """Rows of ``outcomes`` that have a reason, with the columns of ``rejected_documents``."""
+    return rows.withColumnRenamed("ingestion_timestamp", "fetched_at").select(*REJECT_COLUMNS)
+
+
 def rejected_documents(
     envelopes: DataFrame, network_pairs: DataFrame | None = None, lines: Iterable[str] | None = None
 ) -> DataFrame:

@@ -41,8 +41,8 @@ ENVELOPE = T.StructType(
     ]
 )
 
-# A train is a map, so that a missing key and an explicit null stay different.
-_TRAINS = T.ArrayType(T.MapType(T.StringType(), T.StringType()))
+# A train is a map, so that a missing key and an explicit null stay different, of values with their JSON type.
+_TRAINS = T.ArrayType(T.MapType(T.StringType(), T.VariantType()))
 SCHEDULE = T.StructType(
     [
         T.StructField(
@@ -57,3 +57,10 @@ SCHEDULE = T.StructType(
 )
 
 RAW_COLUMNS = RAW.fieldNames()
+
+# What becomes of a document: accepted rows have no reason, rejects have one and the document's text.
+OUTCOMES = T.StructType(
+    [T.StructField(f.name, f.dataType) for f in RAW.fields]
+    + [T.StructField("reason", T.StringType()), T.StructField("payload", T.StringType())]
+)
+REJECT_COLUMNS = ["line_code", "station_code", "fetched_at", "direction", "reason", "payload"]

@@ -130,3 +130,41 @@ def envelopes_from_events(events: DataFrame) -> DataFrame:
         F.col("ts").alias("fetched_at"),
         payload.alias("payload"),
     )
+
+
+def typed_envelopes_from_events(events: DataFrame) -> DataFrame:
+    """Schedule documents, one per event of a known line, whose values have all the types that JSON has.
+
+    The one train's wait goes by ``event_id % 8``, its time by ``event_id % 5``, its sequence by ``event_id % 7``.
+    """
+    eid = F.col("event_id")
+    line = _line_code()
+    stops = F.create_map(
+        *[part for code in LINE_CODES for part in (F.lit(code), F.element_at(text_array(network.LINE_STATIONS[code]), 1))]
+    )
+    station = F.try_element_at(stops, line)
+    steps = F.floor(F.col("value") / 10).cast("bigint").cast("string")
+
+    def of(n: int, *choices: Column | str) -> Column:
+        """The choice of this event; texts are JSON as it stands."""
+        return F.element_at(F.array(*[F.lit(c) if isinstance(c, str) else c for c in choices]), (eid % n + 1).cast("int"))
+
+    def text(value: Column) -> Column:
+        return F.concat(F.lit('"'), value, F.lit('"'))
+
+    wait = of(
+        8, text(steps), F.concat(steps, F.lit(".9")), text(F.concat(steps, F.lit(".9"))), "true",
+        F.concat(F.lit("-1"), steps), text(F.concat(F.lit(" +"), steps)), "[1]", F.concat(steps, F.lit("e1")),
+    )
+    clock = of(5, text(F.date_format("ts", "yyyy-MM-dd HH:mm:ss")), text(F.date_format("ts", "yyyy-M-d H:m:s")), "0", "17", "null")
+    seq = of(7, "1.5", '"1"', "true", '"1.5"', "-3", '" 2 "', "0")
+    train = F.concat(
+        F.lit('{"seq":'), seq, F.lit(',"ttnt":'), wait, F.lit(',"time":'), clock,
+        F.lit(',"dest":null,"plat":'), (eid % 4).cast("string"), F.lit("}"),
+    )
+    payload = F.concat(
+        F.lit('{"data":{'), text(F.concat_ws("-", line, station)), F.lit(':{"UP":['), train, F.lit("]}}}")
+    )
+    return events.select(
+        line.alias("line_code"), station.alias("station_code"), F.col("ts").alias("fetched_at"), payload.alias("payload")
+    ).filter(F.col("station_code").isNotNull())

@@ -13,10 +13,23 @@ def read_schedule_batch(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_schedule_stream(
-    spark: SparkSession, path: str, max_files_per_trigger: int | None = None
+    spark: SparkSession,
+    path: str,
+    max_files_per_trigger: int | None = None,
+    max_bytes_per_trigger: int | None = None,
+    archive: str | None = None,
 ) -> DataFrame:
-    """New envelopes as they land. A file count per trigger bounds the size of one micro-batch."""
+    """New envelopes as they land. A number of files or of bytes per trigger bounds one micro-batch.
+
+    ``archive``: a folder outside ``path`` to which files go once their micro-batch is done, so that a trigger
+    lists only what is new, not all that ever landed. A file there was read; it is never read again. Files of
+    the last micro-batch stay until the next one.
+    """
     reader = spark.readStream.schema(ENVELOPE)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    if max_bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
+    if archive:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     return reader.json(path)

@@ -220,3 +220,74 @@ def test_json_is_parsed_once(spark):
 def test_line_name_is_kept_for_all_lines(spark):
     df = network.line_reference(spark).select("line_code", F.col("line_name").alias("expected"))
     assert ingest.with_line_name(df).filter("line_name <> expected").count() == 0
+
+
+def each(spark, documents):
+    """Every document's arrivals and (direction, reason) of its rejects, from one job; documents are told apart by time."""
+    stamps = [NOW + dt.timedelta(minutes=k) for k in range(len(documents))]
+    df = spark.createDataFrame([("TCL", "HOK", t, d) for t, d in zip(stamps, documents)], ENVELOPE)
+    found = [([], []) for _ in documents]
+    first = stamp(spark, "2024-01-01 04:00:30.123456")
+    for row in ingest.outcomes(df).collect():
+        accepted, rejects = found[round((row.ingestion_timestamp - first).total_seconds()) // 60]
+        accepted.append(row) if row.reason is None else rejects.append((row.direction, row.reason))
+    return found
+
+
+def up(rest):
+    return '{"data":{"TCL-HOK":{"UP":[{%s,"dest":"D"}],"DOWN":[{"ttnt":1}]}}}' % rest
+
+
+def test_integers_of_every_type(spark):
+    waits = {"3": 180, "3.7": 180, "0.9": 0, "-0.5": 0, "true": 60, "false": 0, "1e1": 600, '"+3"': 180, '" 3 "': 180}
+    found = each(spark, [up(f'"seq":1,"ttnt":{w}') for w in waits])
+    assert [[r.time_remaining for r in rows if r.direction == "UP"] for rows, _ in found] == [[s] for s in waits.values()]
+
+
+def test_waits_that_are_none(spark):
+    down = {'"3.7"': "bad_wait", '""': "bad_wait", "-1": "negative_wait", "-1.5": "negative_wait"}
+    whole = {"null": "null_wait", "[3]": "wrong_type", '{"a":3}': "wrong_type"}
+    found = each(spark, [up(f'"ttnt":{w}') for w in [*down, *whole]])
+    assert [rejects for _, rejects in found] == [[("UP", r)] for r in down.values()] + [[(None, r)] for r in whole.values()]
+    assert [len(rows) for rows, _ in found] == [1] * len(down) + [0] * len(whole)
+
+
+def test_order_by_sequences_of_every_type(spark):
+    firsts = {("2", "1.9"): "b", ('"2"', "true"): "b", ("0.5", "false"): "a", ('" 1 "', '"+1"'): "a", ("3", "-3"): "b"}
+    documents = [
+        '{"data":{"TCL-HOK":{"UP":[{"seq":%s,"ttnt":1,"dest":"a"},{"seq":%s,"ttnt":1,"dest":"b"}]}}}' % pair for pair in firsts
+    ]
+    assert [[r.dest_station for r in rows] for rows, _ in each(spark, documents)] == [[d] for d in firsts.values()]
+
+
+def test_a_sequence_that_is_none_costs_the_document(spark):
+    found = each(spark, [up(f'"seq":{s},"ttnt":1') for s in ('"1.5"', "null", "[1]", '"one"')])
+    assert found == [([], [(None, "bad_sequence")])] * 4
+
+
+def test_times(spark):
+    now = "2024-01-01 04:00:30.123456"
+    times = {'"2024-1-5 8:3:9"': "2024-01-05 08:03:09", '"2024-01-05  08:03:09"': "2024-01-05 08:03:09", '"2024-12-31 23:59:59"': "2024-12-31 23:59:59"}
+    unset = ['""', "null", "0", "0.0", "false", "[]", "{}"]
+    found = each(spark, [up(f'"ttnt":1,"time":{t}') for t in [*times, *unset]])
+    want = [stamp(spark, t) for t in times.values()]
+    want += [stamp(spark, now) + dt.timedelta(minutes=k) for k in range(len(times), len(times) + len(unset))]
+    assert [r.arrival_time for rows, _ in found for r in rows if r.direction == "UP"] == want
+
+
+def test_texts_that_are_no_times(spark):
+    texts = ["24-01-05 08:03:09", "20245-01-05 08:03:09", "2024-13-05 08:03:09", "2024-02-30 08:03:09", "2024-01-05 08:03:60",
+             "2024-01-05 08:03", "2024-01-05T08:03:09", " 2024-01-05 08:03:09", "false", "[]"]
+    found = each(spark, [up(f'"ttnt":1,"time":"{t}"') for t in texts])
+    assert [([r.direction for r in rows], rejects) for rows, rejects in found] == [(["DOWN"], [("UP", "bad_time")])] * len(texts)
+
+
+def test_a_time_of_another_type_costs_the_document_unless_the_wait_is_bad(spark):
+    times = ["17", "true", "[1]", '{"a":1}', "0.5"]
+    found = each(spark, [up(f'"ttnt":{w},"time":{t}') for w in ("1", "-1", '"x"') for t in times])
+    assert [rejects for _, rejects in found] == [[(None, "wrong_type")]] * 5 + [[("UP", "negative_wait")]] * 5 + [[("UP", "bad_wait")]] * 5
+
+
+def test_numbers_as_destination_and_platform(spark):
+    (rows, _), = each(spark, ['{"data":{"TCL-HOK":{"UP":[{"ttnt":1,"dest":null,"plat":3}]}}}'])
+    assert [(r.dest_station, r.platform) for r in rows] == [(None, "3")]
