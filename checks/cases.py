@@ -729,6 +729,41 @@ def _histogram_sql(source: str, value: str) -> str:
                GROUP BY bin, lo, width"""
 
 
+def _nice_histogram_sql(source: str, value: str) -> str:
+    """Steps of 1, 2 and 5 tried from the narrowest on; whole powers of ten."""
+    scaled = "(CASE WHEN power < 0 THEN {0} * pow(10, -power) ELSE {0} / pow(10, power) END)"
+    edge = "(CASE WHEN power < 0 THEN {0} * digit / pow(10, -power) ELSE {0} * digit * pow(10, power) END)"
+
+    def number(x: str) -> str:
+        return f"CAST(floor({scaled.format(x)} / digit) AS BIGINT)"
+
+    return f"""ends AS (SELECT CAST(min({value}) AS DOUBLE) AS lo, CAST(max({value}) AS DOUBLE) AS hi FROM {source}),
+      steps AS (
+        SELECT lo, hi, digit, CAST(floor(log10((hi - lo) / 50)) AS INTEGER) + more AS power
+        FROM ends, (VALUES (5.0::DOUBLE, -1), (1.0, 0), (2.0, 0), (5.0, 0), (1.0, 1), (2.0, 1)) AS t(digit, more)
+        WHERE hi > lo
+      ),
+      step AS (
+        SELECT digit, power, {number("lo")} AS first FROM steps WHERE {number("hi")} - {number("lo")} < 50
+        ORDER BY digit * pow(10, power) LIMIT 1
+      ),
+      binned AS (SELECT {number(value)} AS number, first, digit, power FROM {source}, step WHERE {value} IS NOT NULL)
+    SELECT number - first AS bin, round({edge.format("number")}, 6) AS bin_start,
+           round({edge.format("(number + 1)")}, 6) AS bin_end, count(*) AS n
+    FROM binned GROUP BY ALL"""
+
+
+@case("WITH " + _nice_histogram_sql("orders", "o_totalprice"))
+def order_price_histogram_nice(spark, sf):
+    """Bins of a step of 1, 2 or 5 times a power of ten, at most 50."""
+    return rounded(distribution.histogram(table(spark, sf, "orders"), value="o_totalprice", nice=True))
+
+
+@case(over("frame", "SELECT * FROM nice", more=f"nice AS (WITH {_nice_histogram_sql('frame', MIN)})"))
+def histogram_nice(spark, sf):
+    return rounded(distribution.histogram(frame(spark, sf), nice=True))
+
+
 @case(over("frame", _histogram_sql("frame", MIN)))
 def histogram(spark, sf):
     return rounded(distribution.histogram(frame(spark, sf)))
@@ -748,6 +783,38 @@ def _box_sql(source: str, value: str, key: str | None = None) -> str:
                FROM {source} JOIN ({box}) {on} {group}"""
 
 
+def _chart_box_sql(source: str, value: str, key: str) -> str:
+    """Quartiles by the place q * n - 1/2 in the sorted list of a group's values."""
+
+    def quartile(q: float) -> str:
+        place = f"greatest(least({q} * n - 0.5, n - 1.0), 0.0)"
+        low, high = f"v[CAST(floor({place}) AS BIGINT) + 1]", f"v[CAST(ceil({place}) AS BIGINT) + 1]"
+        return f"{low} + ({high} - {low}) * ({place} - floor({place}))"
+
+    def reach(side: str) -> str:
+        return f"list_filter(v, lambda x: x >= q1 - 1.5 * (q3 - q1) AND x <= q3 + 1.5 * (q3 - q1))[{side}]"
+
+    return f"""SELECT {key}, CAST(v[1] AS DOUBLE) AS least, CAST(v[-1] AS DOUBLE) AS greatest, round(q1, 6) AS q1,
+                      round(median, 6) AS median, round(q3, 6) AS q3, n,
+                      round(least({reach("1")}, q1), 6) AS whisker_low, round(greatest({reach("-1")}, q3), 6) AS whisker_high
+               FROM (SELECT *, {quartile(0.25)} AS q1, {quartile(0.5)} AS median, {quartile(0.75)} AS q3
+                     FROM (SELECT {key}, list_sort(list(CAST({value} AS DOUBLE))) AS v, count(*) AS n
+                           FROM {source} WHERE {value} IS NOT NULL AND {key} IS NOT NULL GROUP BY {key}))"""
+
+
+@case(over("frame", _chart_box_sql("frame", MIN, "line_name")))
+def box_stats_chart(spark, sf):
+    """The boxes of the lines as charts draw them."""
+    return rounded(distribution.box_stats(frame(spark, sf), by=["line_name"], chart=True))
+
+
+@case(_chart_box_sql("orders", "o_totalprice", "o_custkey"))
+def order_price_box_chart(spark, sf):
+    """The same for many small groups of odd and even sizes."""
+    rows = distribution.box_stats(table(spark, sf, "orders"), by=["o_custkey"], value="o_totalprice", chart=True)
+    return rounded(rows)
+
+
 @case(over("frame", _box_sql("frame", MIN)))
 def box_stats(spark, sf):
     return rounded(distribution.box_stats(frame(spark, sf)))

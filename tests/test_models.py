@@ -192,6 +192,7 @@ def test_all_checks_on_built_marts(spark, tmp_path):
     assert {tuple(r) for r in built["fact_delays"].collect()} == direct
     again = marts.build_marts(spark, df.limit(0), str(tmp_path))
     assert again["fact_delays"].isEmpty()
+    assert marts.read_marts(spark, str(tmp_path))["fact_delays"].columns == models.FACT_COLUMNS  # without a file to ask
 
 
 def test_marts_as_catalog_tables(spark, tmp_path):
@@ -229,3 +230,37 @@ def test_tiles(spark):
     assert tiles.with_delay_flag(ext, 300).filter("is_delayed").count() == 1
     none = tiles.tile_delay_share(ext.filter("not is_delayed")).collect()
     assert {r.share for r in none} == {None}
+
+
+class Killed(Exception):
+    pass
+
+
+@pytest.mark.parametrize("name", ["dim_lines", "dim_stations"])
+def test_marts_change_together_or_not_at_all(spark, tmp_path, monkeypatch, name):
+    """A job that dies between two marts leaves the old three; frames that were read stay as they were."""
+    out = str(tmp_path / "marts")
+
+    def content(built):
+        return {key: sorted(map(str, map(tuple, df.collect()))) for key, df in built.items()}
+
+    def arrivals(line):
+        return raw(spark, [{"arrival_id": line, "line_code": line, "line_name": line}])
+
+    with pytest.raises(FileNotFoundError):
+        marts.read_marts(spark, out)
+    old = content(marts.build_marts(spark, arrivals("TCL"), out))
+    before = marts.read_marts(spark, out)
+    assert content(before) == old
+
+    def die(*_):
+        raise Killed
+
+    with monkeypatch.context() as patch:
+        patch.setattr(marts, name, die)
+        with pytest.raises(Killed):
+            marts.build_marts(spark, arrivals("ISL"), out)
+    assert content(marts.read_marts(spark, out)) == old
+    new = content(marts.build_marts(spark, arrivals("ISL"), out))
+    assert content(marts.read_marts(spark, out)) == new != old
+    assert content(before) == old

@@ -106,3 +106,47 @@ def test_append_of_a_hot_day(spark, skewed, tmp_path):
     hot = days.loc[days.n.idxmax()]
     assert hot.files > 1  # the heavy day is written by several tasks
     assert days.files.sum() < 8 * len(days)  # without a file per task and day
+
+
+@pytest.fixture(scope="module")
+def many_groups(spark):
+    """3,000 groups of near-unique values, one of them with a third of all rows, five with a few hundredths each."""
+    k = F.col("id")
+    group = F.when(k % 3 == 0, 0).when(k % 3 == 1, 1 + k % 5).otherwise(6 + F.pmod(F.xxhash64("id"), F.lit(2994)))
+    return spark.range(N).select(
+        F.concat(F.lit("G"), group).alias("line_name"), ((k * 7919) % 1_000_003 / 8).alias("time_remaining_minutes")
+    )
+
+
+def test_quantiles_of_many_groups(many_groups, monkeypatch):
+    """Only the largest groups get brackets; the others meet in one shuffle and are never cut into ranges."""
+    monkeypatch.setattr(distribution, "ACCURACY", 200)
+    monkeypatch.setattr(distribution, "FEW_VALUES", 1000)
+    monkeypatch.setattr(distribution, "BROADCAST_BYTES", 40 * distribution.ROW_BYTES)
+    narrowed, ranged, placed = [], [], []
+    for name, seen in (("_narrowed", narrowed), ("_ranged", ranged), ("_running_in_place", placed)):
+        real = getattr(distribution, name)
+        monkeypatch.setattr(distribution, name, lambda df, *args, real=real, seen=seen: seen.append(df) or real(df, *args))
+    box = distribution.box_stats(many_groups, by=["line_name"]).toPandas().set_index("line_name").sort_index()
+    pdf = many_groups.toPandas()
+    waits = pdf.groupby("line_name").time_remaining_minutes
+    for column, q in (("q1", 0.25), ("median", 0.5), ("q3", 0.75)):
+        assert box[column].tolist() == pytest.approx(waits.quantile(q).sort_index().tolist())
+    assert box.n.tolist() == waits.size().sort_index().tolist() and len(box) > 2900
+    lines = distribution.percentiles(many_groups, by=["line_name"]).toPandas()
+    for p in distribution.PERCENTILES:
+        got = lines[lines.percentile == f"{p}th"].set_index("line_name").wait_minutes.sort_index()
+        assert got.tolist() == pytest.approx(waits.quantile(p / 100).sort_index().tolist())
+    large = {r[0] for r in narrowed[0].select("line_name").distinct().collect()}
+    assert large == {f"G{k}" for k in range(6)}
+    # What the large groups send is a few hundredths of their rows; the others are counted where they met.
+    assert ranged[0].count() < 0.2 * narrowed[0].count()
+    plan = placed[0]._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(line_name") == 1 and "rangepartitioning" not in plan
+
+
+def test_few_values_are_counted_outright(skewed, monkeypatch):
+    monkeypatch.setattr(distribution, "_brackets", None)
+    monkeypatch.setattr(distribution, "_ranged", None)
+    assert distribution.percentiles(skewed, by=["line_name"]).count() == 5 * len(distribution.PERCENTILES) + len(distribution.PERCENTILES)
+    assert distribution.box_stats(skewed).first().n == N

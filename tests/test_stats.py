@@ -319,3 +319,61 @@ def test_lookup_of_awkward_text(spark):
     df = spark.createDataFrame([("it's",), ("back\\slash",), ("x",)], "k string")
     got = [r[0] for r in df.select(C.lookup(F.col("k"), table, "none")).collect()]
     assert got == ["a 'b'", "c\\d", "none"]
+
+
+@pytest.mark.parametrize("bins", [2, 7, 50])
+def test_nice_bins(spark, bins):
+    """Against steps tried one after the other in exact fractions."""
+    from fractions import Fraction
+
+    samples = [[0.0, 0.3, 0.7, 1.0], [1.0, 50.0], [-3.0, 4.5, 9.99], [1000.0, 1000.2], [5.0, 5.0], [0.1 * k for k in range(51)], [-7e6, 12.0]]
+    for values in samples:
+        exact = [Fraction(repr(v)) for v in values]
+        lo, hi = min(exact), max(exact)
+        step = Fraction(1)
+        if hi > lo:
+            tries = sorted(Fraction(d) * Fraction(10) ** e for d in (1, 2, 5) for e in range(-9, 9))
+            step = next(s for s in tries if hi // s - lo // s < bins)
+        want = {}
+        for v in exact:
+            want[v // step] = want.get(v // step, 0) + 1
+        got = distribution.histogram(waits(spark, values), bins, nice=True).collect()
+        assert {(r.bin, r.n) for r in got} == {(k - lo // step, n) for k, n in want.items()}
+        for r in got:
+            assert r.bin_start == pytest.approx(float((lo // step + r.bin) * step), abs=1e-9)
+            assert r.bin_end - r.bin_start == pytest.approx(float(step))
+    assert distribution.histogram(waits(spark, [None]), nice=True).collect() == []
+    with pytest.raises(ValueError):
+        distribution.histogram(waits(spark, [1.0]), 1, nice=True)
+
+
+def test_boxes_as_charts_draw_them(spark):
+    """Small groups of odd and even sizes, against the public rule: place q * n - 1/2 among the rows in order."""
+    groups = {"A": [3.0], "B": [1.0, 2.0], "C": [1.0, 2.0, 4.0], "D": [1.0, 2.0, 4.0, 8.0], "E": [0.0, 1.0, 2.0, 3.0, 100.0], "F": [5.0] * 6 + [900.0], "G": [float(k * k) for k in range(10)]}
+
+    def quartile(v, q):
+        place = min(max(q * len(v) - 0.5, 0), len(v) - 1)
+        low = int(place)
+        return v[low] + (v[min(low + 1, len(v) - 1)] - v[low]) * (place - low)
+
+    rows = [(line, x) for line, v in groups.items() for x in v]
+    df = spark.createDataFrame(rows, f"line_name string, {WAIT} double")
+    got = {r.line_name: r for r in distribution.box_stats(df, by=["line_name"], chart=True).collect()}
+    for line, v in groups.items():
+        q1, median, q3 = (quartile(v, q) for q in (0.25, 0.5, 0.75))
+        reach = [x for x in v if q1 - 1.5 * (q3 - q1) <= x <= q3 + 1.5 * (q3 - q1)]
+        r = got[line]
+        assert [r.q1, r.median, r.q3] == pytest.approx([q1, median, q3])
+        assert (r.whisker_low, r.whisker_high) == (min([*reach, q1]), max([*reach, q3]))
+    one = distribution.box_stats(df.filter("line_name = 'D'"), chart=True).first()
+    assert (one.q1, one.median, one.q3) == (1.5, 3.0, 6.0)
+    assert distribution.box_stats(df.limit(0), by=["line_name"], chart=True).isEmpty()
+
+
+def test_chart_quartiles_from_brackets(spread, monkeypatch):
+    monkeypatch.setattr(distribution, "FEW_VALUES", 0)
+    got = distribution.box_stats(spread, by=["line_name"], chart=True).toPandas().set_index("line_name").sort_index()
+    groups = spread.toPandas().groupby("line_name")[WAIT]
+    for column, q in (("q1", 0.25), ("median", 0.5), ("q3", 0.75)):
+        want = [np.percentile(v, 100 * q, method="hazen") for _, v in sorted(groups)]
+        assert np.allclose(got[column], want, rtol=1e-12)
