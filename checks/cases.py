@@ -644,6 +644,19 @@ def report_note(spark, sf):
     return spark.createDataFrame([(page.note,)], "note string")
 
 
+@case(
+    over("frame", f"""SELECT CASE WHEN count(*) = 0 THEN 'no arrivals in the period'
+                                  WHEN count(*) FILTER (WHERE line_name = 'No Line') = 0
+                                  THEN 'no arrivals match the filters' END AS note
+                      FROM frame WHERE ingestion_timestamp >= TIMESTAMP '{AS_OF}' - INTERVAL 168 HOUR""")
+)
+def report_note_filters(spark, sf):
+    """The report of a period with arrivals, of which none is of the chosen line, says so."""
+    page = report.build_report(raw(spark, sf), lines=["No Line"], as_of=dt.datetime.fromisoformat(AS_OF))
+    page.close()
+    return spark.createDataFrame([(page.note,)], "note string")
+
+
 @case(
     over("frame", f"""SELECT line_name, hour AS peak_hour, {r6("w", "peak_wait")}
                       FROM (SELECT line_name, hour, avg({MIN}) AS w FROM frame GROUP BY ALL)
