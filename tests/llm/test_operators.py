@@ -422,18 +422,73 @@ def test_item_blocks(spark, sf_dir, docs):
     assert len(blocks) > 2 and sum(len(b.items) for b in blocks) == items.count()
 
 
+def edited(item, kind, count, r):
+    """The item with edits at ``count`` places."""
+    copy = bytearray(item)
+    for p in sorted(r.sample(range(len(item)), count), reverse=True):
+        one = r.choice(["deletion", "insertion", "substitution"]) if kind == "mixed" else kind
+        if one == "deletion":
+            del copy[p]
+        elif one == "insertion":
+            copy.insert(p, r.choice(b"etaoinsrhldcum "))
+        else:
+            copy[p] = r.choice([c for c in b"etaoinsrhldcum" if c != copy[p]])
+    return bytes(copy)
+
+
+@pytest.mark.parametrize("kind", ["deletion", "insertion", "substitution", "mixed"])
+def test_recall_at_the_full_bound(spark, sf_dir, docs, kind):
+    bench = [(r.item_id, decontaminate.plain(r.text)) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
+    block = decontaminate.ItemBlock(bench, decontaminate.EDITS)
+    r = random.Random(kind)
+    hosts = [t.encode()[:500] for _, t in texts_of(docs) if len(t) > 500]
+    rows = []
+    for k, item in bench * 4:
+        copy = edited(item, kind, int(decontaminate.EDITS * len(item)), r)
+        rows.append((k, r.choice(hosts) + r.choice([b" ", b"", b"="]) + copy + b" " + r.choice(hosts)))
+    # Brute force: the edit distance of every item to every stretch of every text.
+    texts = [bytes(decontaminate.PLAIN[np.frombuffer(t, np.uint8)]) for _, t in rows]
+    want = {
+        (i, k) for i, t in enumerate(texts) for k, item in bench
+        if (k == rows[i][0] or i < len(bench)) and decontaminate.best_stretch(item, t)[0] <= int(decontaminate.EDITS * len(item))
+    }
+    assert {(i, k) for i, (k, _) in enumerate(rows)} <= want
+    found = {(i, k) for i, k, *_ in block.matches(pa.array([t for _, t in rows], pa.binary()))}
+    assert len(found & want) >= 0.98 * len(want)
+    assert {p for p in found if p[0] < len(bench)} <= want
+
+
+def test_a_stretch_within_the_bound_keeps_a_piece():
+    """Evenly spread edits, the worst case: every length has a piece that they leave whole, of a size looked up."""
+    for n in range(decontaminate.GRAM, 500):
+        cuts = decontaminate.pieces(n, decontaminate.EDITS)
+        assert cuts[0] == 0 and cuts[-1] == n and len(cuts) - 1 == int(decontaminate.EDITS * n) + 1
+        assert min(np.diff(cuts)) >= 6
+    r = random.Random(3)
+    for n in (24, 25, 87, 88, 200):
+        item = bytes(r.choice(b"abcdefghijklmnop qrstuvwxyz") for _ in range(n))
+        count = int(decontaminate.EDITS * n)
+        copy = bytearray(item)
+        for e in range(count):
+            copy[n * (2 * e + 1) // (2 * count)] = 35
+        block = decontaminate.ItemBlock([(1, item)], decontaminate.EDITS)
+        text = b"some words before " + bytes(copy) + b" and after"
+        flat, bounds = np.frombuffer(text, np.uint8), np.array([0, len(text)])
+        assert any(18 in start for index in block.indexes for _, start in index.windows(flat, bounds))
+
+
 def test_items_inside_runs_without_spaces(spark, sf_dir):
     bench = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
     r = random.Random(12)
     han = ["".join(chr(r.randrange(0x4E00, 0x9F00)) for _ in range(60)) for _ in range(20)]
     solid = [decontaminate.plain("".join(t.split())).decode() for _, t in bench] + han
-    block = decontaminate.ItemBlock([(k, t.encode()) for k, t in enumerate(solid)], decontaminate.EDITS, decontaminate.RECALL)
+    block = decontaminate.ItemBlock([(k, t.encode()) for k, t in enumerate(solid)], decontaminate.EDITS)
     rows, filler = [], lambda n: "".join(r.choice("abcdefgh漢字語") for _ in range(n))
     for k, t in enumerate(solid):
         rows += [(k, filler(n) + t + filler(50)) for n in (30, 100, 300)]
     found = {(row, k) for row, k, distance, *_ in block.matches(pa.array([t for _, t in rows])) if distance == 0}
     assert found >= {(i, k) for i, (k, _) in enumerate(rows)}
-    spaced = decontaminate.ItemBlock([(k, decontaminate.plain(t)) for k, t in bench], decontaminate.EDITS, decontaminate.RECALL)
+    spaced = decontaminate.ItemBlock([(k, decontaminate.plain(t)) for k, t in bench], decontaminate.EDITS)
     texts = [f"https://x.example/{filler(40)}={t}" for _, t in bench]
     found = {(row, k) for row, k, distance, *_ in spaced.matches(pa.array(texts)) if distance == 0}
     assert found >= {(i, k) for i, (k, _) in enumerate(bench)}
