@@ -1,13 +1,16 @@
 """Language identification by a linear-chain conditional random field over words.
 
-A word is a run of letters A-Z, a-z and bytes over 127 (so of any other script), A-Z lower-cased. Its
+A word is a run of letters A-Z, a-z and bytes over 127 (so of any other script), A-Z lower-cased. Characters of
+three or four bytes are words by themselves, since many of these scripts have no spaces (those whose first byte is
+226, mostly punctuation and signs, are not). Its
 features: hashed affixes of 1 to 3 bytes, hashed n-grams of 2 and 3 bytes with the word's edges, the word
 itself hashed, and its lexicon row, the shares of the languages among its occurrences in the training
 words. The labels are the languages of the training rows; transitions between neighbouring words and the
 start of a document are learned, and forward-backward gives each word's label probabilities.
 
-Training takes about ``PER_LABEL`` documents of each language (chosen by a hash of their text) and cuts
-them into stretches of ``STRETCH`` words; every training sequence joins ``JOINED`` stretches, some of other
+Training takes up to ``PER_LABEL`` different texts of each language, those with the smallest hashes, so that the
+sample is the same in every run and copies count once. They are cut into stretches of ``STRETCH`` words, the last
+one of a text as short as it comes; every training sequence joins ``JOINED`` stretches, some of other
 languages, so that switches inside a text are learned too. The driver's need is bounded by that sample.
 
 Documents may have any length: all words of a slice form one chain that starts afresh at each document.
@@ -23,7 +26,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from headway.llm.arrow import flat_bytes, ranges, strings, text_slices
@@ -38,6 +41,7 @@ SWITCH = 0.25
 BUCKETS = 1 << 16
 GRAMS = (2, 3)
 EPOCHS = 3
+LEAST_STEPS = 60
 BATCH = 192
 RATE = 0.1
 LEXICON_COUNT = 3
@@ -47,9 +51,18 @@ LETTER = np.zeros(256, bool)
 LETTER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
 
 
+def find_words(flat: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the words of each text, and the n+1 offsets of texts into them."""
+    first_byte = np.flatnonzero((flat >= 0xE0) & (flat != 0xE2))
+    after = first_byte + 3 + (flat[first_byte] >= 0xF0)
+    cuts = np.concatenate([bounds, first_byte, after[after <= len(flat)]]) if len(first_byte) else bounds
+    first, last, _ = word_spans(LETTER[flat], cuts)
+    return first, last, np.searchsorted(first, bounds)
+
+
 def word_features(flat: np.ndarray, bounds: np.ndarray):
     """Of all words: hashes, fixed features (7 buckets a word), for each n all buckets and the words' ranges."""
-    first, last, offsets = word_spans(LETTER[flat], bounds)
+    first, last, offsets = find_words(flat, bounds)
     low = LOWER[flat]
     sums = prefix_sums(low)
     whole = span_hashes(sums, first, last)
@@ -170,11 +183,12 @@ def train(samples: list[tuple[str, str]], seed: int = 11, epochs: int = EPOCHS)
     whole, fixed, grams, offsets = word_features(flat, bounds)
     gold = np.repeat([labels.index(lang) for lang, _ in samples], np.diff(offsets))
     model = WordCRF(labels, build_lexicon(whole, gold, k))
-    cuts = [np.arange(a, b - STRETCH + 1, STRETCH) for a, b in zip(offsets[:-1], offsets[1:])]
+    cuts = [np.arange(a, b, STRETCH) for a, b in zip(offsets[:-1], offsets[1:])]
     cuts = np.concatenate([np.zeros(0, np.int64), *cuts]).astype(np.int64)
     if not len(cuts):
         return model
-    of_label = [cuts[gold[cuts] == y] for y in range(k)]
+    stretch = np.minimum(STRETCH, offsets[np.searchsorted(offsets, cuts, side="right")] - cuts)
+    of_label = [np.flatnonzero(gold[cuts] == y) for y in range(k)]
     present = [y for y in range(k) if len(of_label[y])]
     squares = {name: np.full(np.shape(getattr(model, name)), 1e-6) for name in ("weights", "lexicon", "start", "moves")}
     lexicon_rows = model.lexicon_rows(whole)
@@ -184,34 +198,41 @@ def train(samples: list[tuple[str, str]], seed: int = 11, epochs: int = EPOCHS)
         target = getattr(model, name)
         target -= (RATE * gradient / np.sqrt(squares[name])).astype(target.dtype)
 
-    steps = max(1, epochs * len(cuts) // (BATCH * JOINED))
+    steps = max(LEAST_STEPS, epochs * len(cuts) // (BATCH * JOINED))
     for _ in range(steps):
         # Languages take turns with equal weight; each next stretch switches with chance SWITCH.
         label = rng.choice(present, BATCH)
-        pieces = []
+        picks = []
         for _ in range(JOINED):
             label = np.where(rng.random(BATCH) < SWITCH, rng.choice(present, BATCH), label)
-            pick = np.array([of_label[y][int(u * len(of_label[y]))] for y, u in zip(label, rng.random(BATCH))])
-            pieces.append(pick[:, None] + np.arange(STRETCH))
-        words = np.concatenate(pieces, axis=1)
-        rows, y = words.ravel(), gold[words]
+            picks.append([of_label[y][int(u * len(of_label[y]))] for y, u in zip(label, rng.random(BATCH))])
+        picks = np.array(picks).T
+        # The stretches of a sequence one after the other; what is left of its row is no word.
+        length = stretch[picks].sum(axis=1)
+        real = np.arange(length.max()) < length[:, None]
+        rows = ranges(cuts[picks].ravel(), stretch[picks].ravel())
+        y = np.zeros(real.shape, np.int64)
+        y[real] = gold[rows]
         taken = take_grams(grams, rows)
-        scores = model.emissions(whole[rows], fixed[rows], taken).reshape(*words.shape, k).astype(float)
-        length = words.shape[1]
+        scores = np.zeros((*real.shape, k))
+        scores[real] = model.emissions(whole[rows], fixed[rows], taken)
+        length = real.shape[1]
         alpha, beta = np.empty_like(scores), np.zeros_like(scores)
         alpha[:, 0] = model.start + scores[:, 0]
         for t in range(1, length):
-            alpha[:, t] = log_sum(alpha[:, t - 1][:, None, :] + model.moves.T[None]) + scores[:, t]
+            moved = log_sum(alpha[:, t - 1][:, None, :] + model.moves.T[None]) + scores[:, t]
+            alpha[:, t] = np.where(real[:, t, None], moved, alpha[:, t - 1])
         for t in range(length - 2, -1, -1):
-            beta[:, t] = log_sum(model.moves[None] + (scores[:, t + 1] + beta[:, t + 1])[:, None, :])
+            moved = log_sum(model.moves[None] + (scores[:, t + 1] + beta[:, t + 1])[:, None, :])
+            beta[:, t] = np.where(real[:, t + 1, None], moved, 0.0)
         total = log_sum(alpha[:, -1])
         p = np.exp(alpha + beta - total[:, None, None])
         pair = alpha[:, :-1, :, None] + model.moves + (scores + beta)[:, 1:, None, :] - total[:, None, None, None]
-        moves = np.exp(pair).sum(axis=(0, 1))
-        np.add.at(moves, (y[:, :-1].ravel(), y[:, 1:].ravel()), -1.0)
+        moves = np.exp(pair[real[:, 1:]]).sum(axis=0)
+        np.add.at(moves, (y[:, :-1][real[:, 1:]], y[:, 1:][real[:, 1:]]), -1.0)
         start = p[:, 0].sum(axis=0) - np.bincount(y[:, 0], minlength=k)
-        np.subtract.at(p.reshape(-1, k), (np.arange(y.size), y.ravel()), 1.0)
-        error = p.reshape(-1, k)
+        error = p[real]
+        error[np.arange(len(rows)), y[real]] -= 1.0
         buckets, owners = [fixed[rows].ravel()], [np.repeat(np.arange(len(rows)), fixed.shape[1])]
         for found, sizes in taken:
             buckets.append(found)
@@ -226,16 +247,19 @@ def train(samples: list[tuple[str, str]], seed: int = 11, epochs: int = EPOCHS)
 
 
 def training_sample(docs: DataFrame, per_label: int = PER_LABEL) -> list[tuple[str, str]]:
-    """About ``per_label`` (lang, text) pairs of each language, of documents that are not held out."""
+    """Up to ``per_label`` different (lang, text) pairs of each language, of documents that are not held out."""
     rows = docs.select(docs["doc_id"].alias("doc_id"), docs["lang"].alias("lang"), docs["text"].alias("text"))
     rows = rows.filter(F.col("lang").isNotNull() & ~F.coalesce(held_out(F.col("doc_id")), F.lit(False)))
-    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    rows = rows.filter(F.col("text").isNotNull()).withColumn("mark", F.xxhash64("text"))
+    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.approx_count_distinct("mark").alias("n")).collect()}
     if not counts:
         return []
-    share = F.create_map(*(F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, per_label / n))))
-    point = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    chosen = rows.filter(F.col("text").isNotNull() & (point < share[F.col("lang")]))
-    found = chosen.select("lang", "text").limit(4 * per_label * len(counts)).collect()
+    # Twice as many as wanted go on, so that few languages' texts are sorted and hardly any language falls short.
+    share = F.create_map(*(F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, 2 * per_label / max(n, 1)))))
+    point = F.pmod("mark", F.lit(1 << 30)) / F.lit(float(1 << 30))
+    chosen = rows.filter(point < share[F.col("lang")]).select("lang", "text", "mark").distinct()
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod("mark", F.lit(1 << 30)), "text"))
+    found = chosen.withColumn("place", place).filter(F.col("place") <= per_label).select("lang", "text").collect()
     return sorted((r["lang"], r["text"]) for r in found)
 
 
@@ -246,7 +270,7 @@ def has_letter(text: str) -> bool:
 def batch_marginals(model: WordCRF, column):
     """Spans, label probabilities and document offsets of the words of a text column."""
     flat, bounds = flat_bytes(column)
-    first, last, _ = word_spans(LETTER[flat], bounds)
+    first, last, _ = find_words(flat, bounds)
     whole, fixed, grams, offsets = word_features(flat, bounds)
     begins = np.zeros(len(whole), bool)
     begins[offsets[:-1][np.diff(offsets) > 0]] = True
