@@ -6,7 +6,9 @@ words of 16 or more characters over ``[A-Za-z0-9+/_-]`` (with base64 padding) ar
 fewer than ``max_ratio`` characters a token mean that the string is made of no common pieces. Left out
 are known digests (32, 40, 56, 64, 96 or 128 hex digits), UUIDs, plain numbers and identifiers: strings
 whose parts between ``_``, ``-``, ``/``, ``=``, ``+`` are each all letters of one case (a capital first
-letter allowed) or all digits. Words longer than ``PIECE`` characters are encoded in pieces of that length.
+letter allowed) or all digits. Keys of letters of one case look like identifiers, too; so an identifier with
+``LETTERS`` letters or more counts as one only from ``plain_ratio`` characters a token on, which names made of
+words reach and random letters do not. Words longer than ``PIECE`` characters are encoded in pieces of that length.
 
 Spans are in code points, the end exclusive. Null counts as empty and has no spans. Rows are independent:
 repeated rows give repeated results; an empty table gives an empty one; other columns are ignored.
@@ -25,6 +27,8 @@ from headway.llm.arrow import strings, text_slices
 
 KINDS = ("assign", "access", "hex", "random")
 MAX_RATIO = 2.2
+PLAIN_RATIO = 1.9
+LETTERS = 12
 PIECE = 4096
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
@@ -50,11 +54,13 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-def excluded(word: str) -> bool:
-    """Known digests, UUIDs, numbers and identifiers."""
-    if len(word) in DIGEST_SIZES and HEX_WORD.fullmatch(word):
-        return True
-    return bool(IDENTIFIER.fullmatch(word) or UUID.fullmatch(word))
+def limit(word: str, max_ratio: float, plain_ratio: float) -> float:
+    """Characters a token below which the word is a secret; 0 for known digests, UUIDs and numbers."""
+    if len(word) in DIGEST_SIZES and HEX_WORD.fullmatch(word) or UUID.fullmatch(word):
+        return 0.0
+    if not IDENTIFIER.fullmatch(word):
+        return max_ratio
+    return min(plain_ratio, max_ratio) if sum(map(str.isalpha, word)) >= LETTERS else 0.0
 
 
 @lru_cache(maxsize=4)
@@ -73,20 +79,23 @@ def ratio(word: str, encoder) -> float:
     return len(word) / sum(len(encoder.encode_ordinary(p)) for p in pieces)
 
 
-def random_spans(text: str, encoder, max_ratio: float) -> list[tuple[int, int, int]]:
+def random_spans(text: str, encoder, max_ratio: float, plain_ratio: float = PLAIN_RATIO) -> list[tuple[int, int, int]]:
     """(start, kind, end) of the words that fail the token test."""
-    return [
-        (m.start(), 3, m.end())
-        for m in WORD.finditer(text)
-        if not excluded(m[0]) and ratio(m[0], encoder) < max_ratio
-    ]
+    found = []
+    for m in WORD.finditer(text):
+        least = limit(m[0], max_ratio, plain_ratio)
+        if least and ratio(m[0], encoder) < least:
+            found.append((m.start(), 3, m.end()))
+    return found
 
 
 def joined(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in sorted(spans))
 
 
-def scan_secrets(docs: DataFrame, vocabulary: str, max_ratio: float = MAX_RATIO) -> DataFrame:
+def scan_secrets(
+    docs: DataFrame, vocabulary: str, max_ratio: float = MAX_RATIO, plain_ratio: float = PLAIN_RATIO
+) -> DataFrame:
     """Per document the counts by kind, the fixed patterns' spans (``base``) and all ``spans``.
 
     ``vocabulary``: a tiktoken file that every executor can open.
@@ -98,7 +107,7 @@ def scan_secrets(docs: DataFrame, vocabulary: str, max_ratio: float = MAX_RATIO)
             counts, base, spans = [[], [], [], []], [], []
             for text in strings(batch.column("text")):
                 fixed = base_spans(text)
-                more = random_spans(text, encoder, max_ratio)
+                more = random_spans(text, encoder, max_ratio, plain_ratio)
                 for k in range(4):
                     counts[k].append(sum(s[1] == k for s in (more if k == 3 else fixed)))
                 base.append(joined(fixed))

@@ -7,6 +7,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from checks.compare import connect, differences
@@ -38,6 +39,19 @@ def test_secret_spans():
         assert found(clean) == [], clean
 
 
+@pytest.mark.parametrize("letters", ["abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"])
+def test_keys_of_one_case(letters):
+    encoder = secrets.encoding(vocabulary(secrets.VOCABULARY))
+    r = random.Random(letters)
+    keys = ["".join(r.choice(letters) for _ in range(32)) for _ in range(200)]
+    assert sum(bool(secrets.random_spans(f"key {k} end", encoder, secrets.MAX_RATIO)) for k in keys) >= 180
+    dashed = ["-".join("".join(r.choice(letters) for _ in range(5)) for _ in range(5)) for _ in range(200)]
+    assert sum(bool(secrets.random_spans(k, encoder, secrets.MAX_RATIO)) for k in dashed) >= 180
+    for clean in ("internationalization", "release-2024-01-15-notes", "the-quick-brown-fox-jumps", "MAX_RETRY_COUNT_DEFAULT",
+                  "2024-01-15-2024-01-16", "====================", "https//example/path/to/page"):
+        assert secrets.random_spans(clean, encoder, secrets.MAX_RATIO) == [], clean
+
+
 def test_secret_query_against_plain_matching(spark, sf_dir, docs):
     import re
 
@@ -508,6 +522,44 @@ def test_language_on_held_out_documents(spark, sf_dir, docs):
     assert all(0 <= r.score <= 1 for r in got)
 
 
+def test_short_and_spaceless_languages():
+    """Languages with short texts only, and one without spaces, are learned beside one with long texts."""
+    r = random.Random(1)
+    sounds = {"en": "the and ing er on st wh ould ough".split(), "nl": "ij een oo van sch aa ge ooi uw".split()}
+    han = {"zh": [chr(r.randrange(0x4E00, 0x9F00)) for _ in range(300)], "ja": [chr(c) for c in range(0x3041, 0x3094)]}
+
+    def text(lang):
+        if lang in han:
+            return "".join(r.choice(han[lang]) for _ in range(300))
+        return " ".join("".join(r.choice(sounds[lang]) for _ in range(r.randint(1, 3))) for _ in range({"en": 60, "nl": 10}[lang]))
+
+    model = language.train([(lang, text(lang)) for lang in ("en", "nl", "zh", "ja") for _ in range(150)])
+    for lang in model.labels:
+        *_, offsets, p = language.batch_marginals(model, pa.array([text(lang) for _ in range(50)]))
+        best = [p[a:b].mean(axis=0).argmax() for a, b in zip(offsets[:-1], offsets[1:])]
+        assert sum(model.labels[k] == lang for k in best) >= 45, lang
+
+
+def test_words_of_scripts_without_spaces():
+    text = "l\u2019été 東京とabc\U0001f600é"
+    flat, bounds = language.flat_bytes(pa.array([text, "", "東"]))
+    first, last, offsets = language.find_words(flat, bounds)
+    words = [flat[a:b].tobytes().decode() for a, b in zip(first, last)]
+    assert words == ["l\u2019été", "東", "京", "と", "abc", "\U0001f600", "é", "東"]
+    assert offsets.tolist() == [0, 7, 7, 8]
+
+
+def test_the_training_sample_is_fixed_and_no_language_starves(spark):
+    rows = [(None, "x copy", "a")] * 400 + [(3 * i, f"text {i}", "a") for i in range(300)]
+    rows += [(None, "rare one", "b"), (None, "rare two", "b"), (None, None, "c"), (5, "no language", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = language.training_sample(df, per_label=20)
+    assert got == language.training_sample(df.orderBy(F.rand(3)).repartition(7), per_label=20)
+    assert len(set(got)) == len(got)
+    assert sum(lang == "a" for lang, _ in got) == 20
+    assert [x for x in got if x[0] == "b"] == [("b", "rare one"), ("b", "rare two")]
+
+
 def small_field():
     r = np.random.default_rng(3)
     crf = language.WordCRF(["a", "b", "c"], (np.zeros(0, np.uint64), np.zeros((0, 3), np.float32)))
