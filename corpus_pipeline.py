@@ -15,6 +15,9 @@ from headway.llm import bpe, decontaminate, lines, minhash, quality
 from headway.llm.queries import table, vocabulary
 from headway.session import ensure_checkpoint_dir
 
+#: Shared shingles of all shingles of two documents, in percent, from which on they are near copies.
+PERCENT = 80
+
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, fitted on labelled ones among them, rejects go."""
@@ -28,8 +31,8 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays, the one with the smallest id."""
-    kept = minhash.near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
+    """One document of each group of near copies (likeness ``PERCENT`` or more) stays, the one with the smallest id."""
+    kept = minhash.near_duplicates(docs, PERCENT).filter("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
     return docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(kept["_kept_id"]), "left_semi")
 
 
