@@ -640,7 +640,7 @@ def test_pipeline(spark, sf_dir, docs, tokenizer, quality_model):
         if k != 1:
             assert all(before[d] == t for d, t in after.items())
         if k == 2:
-            want = {c[0] for c in plain_components(sorted(before.items()), 85) if c[3]}
+            want = {c[0] for c in plain_components(sorted(before.items()), 80) if c[3]}
             assert set(after) == want
         kept = after
     assert set(final) == set(kept)
