@@ -11,8 +11,11 @@ of at least ``MIN_CHARS`` characters are deleted from the later document; out of
 The result is that of an alignment with all earlier documents, by doc_id, in rounds. In the first, a run names
 the first document that holds it, so pairs grow with the lines. Later rounds take the shared runs of which lines
 are left, and align the document with more of their earlier holders (``SPREAD``), the last one with all that were
-not tried; of holders with equal texts one does there. Runs that are deleted at once, as frequent lines mostly
-are, need one round.
+not tried; of holders with equal texts one does there. Rare runs, with up to ``RARE`` holders, name them as they
+are. A more frequent one names only those holders that share an anchor with the document too: a line that occurs once
+in both, or the first or the last line that is not blank, as far from the end. Without any a patience diff matches
+nothing but blank lines, so none is lost, and lines repeated inside of documents, like separators, name no partners
+by themselves.
 
 Only line hashes travel to the alignment, as one array a document; texts are read again for the result.
 
@@ -37,6 +40,8 @@ from headway.session import durable
 MIN_CHARS = 40
 #: Holders of a run, one of each hash class of doc_id, that the rounds between the first and the last try.
 SPREAD = (16, 256)
+#: Holders up to which a run is rare. Both kinds give the same result.
+RARE = 64
 
 
 def lines_of(text) -> Column:
@@ -181,6 +186,36 @@ def key_batches(min_chars: int):
     return run
 
 
+def anchor_keys(hashes, bounds) -> tuple[np.ndarray, np.ndarray]:
+    """(document, key) of the lines that can begin an alignment: those that occur once, the first and the last.
+
+    Blank lines can not. First and last lines count with the blank ones before or behind them.
+    """
+    doc = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    at = np.flatnonzero(hashes)
+    order = at[np.lexsort((hashes[at], doc[at]))]
+    same = (doc[order][1:] == doc[order][:-1]) & (hashes[order][1:] == hashes[order][:-1])
+    single = order[~(np.r_[False, same] | np.r_[same, False])] if len(order) else order
+    new = np.r_[True, doc[at][1:] != doc[at][:-1]] if len(at) else np.zeros(0, bool)
+    first, last = at[new], at[np.r_[new[1:], True]] if len(at) else at
+    # An odd number tells a first line from a last one and both from the plain hash.
+    from_start = mix(hashes[first] + (2 * (first - bounds[doc[first]]) + 1).astype(np.uint64) * np.uint64(BASE))
+    from_end = mix(~hashes[last] + (2 * (bounds[doc[last] + 1] - last) + 1).astype(np.uint64) * np.uint64(BASE))
+    return np.r_[doc[single], doc[first], doc[last]], np.r_[hashes[single], from_start, from_end].view(np.int64)
+
+
+def anchor_batches(batches):
+    step = max(1, SLICE_BYTES >> 12)
+    for whole in batches:
+        for at in range(0, whole.num_rows, step):
+            batch = whole.slice(at, step)
+            lists = batch.column("hashes")
+            bounds = np.r_[0, np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False), dtype=np.int64)]
+            doc, keys = anchor_keys(lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64), bounds)
+            own = (batch.column(n).take(pa.array(doc)) for n in ("doc_id", "tie"))
+            yield pa.RecordBatch.from_arrays([*own, pa.array(keys)], ["doc_id", "tie", "anchor"])
+
+
 def removed_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """(doc_id, tie, removed, partners): places of the lines to delete, of documents that lose some.
 
@@ -197,8 +232,10 @@ def removed_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     )
     runs = key_batches(min_chars), "line long, doc_id long, tie long"
     naming = keyed.mapInArrow(*runs)
-    owners = naming.groupBy("line").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("latest"))
-    owners = durable(owners.filter("owner < latest").select("line", "owner"))
+    owners = naming.groupBy("line").agg(
+        F.min("doc_id").alias("owner"), F.max("doc_id").alias("latest"), (F.count("*") > RARE).alias("frequent")
+    )
+    owners = durable(owners.filter("owner < latest").select("line", "owner", "frequent"))
     shared = durable(naming.join(owners, "line"))
     pairs = shared.filter("owner < doc_id").select("owner", "doc_id", "tie").distinct()
     pairs = durable(pairs)
@@ -214,8 +251,23 @@ def removed_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
         return aligned.filter(F.size("removed") > 0)
 
     def merged(aligned: DataFrame) -> DataFrame:
-        places = F.array_distinct(F.flatten(F.collect_list("removed")))
-        return aligned.groupBy("doc_id", "tie").agg(places.alias("removed"), F.count("*").alias("partners"))
+        # A set of places, so that what is gathered is bounded by the document's lines, not by its partners.
+        places = aligned.select("doc_id", "tie", F.posexplode("removed").alias("nth", "place"))
+        partners = F.count(F.when(F.col("nth") == 0, F.lit(1)))
+        return places.groupBy("doc_id", "tie").agg(F.collect_set("place").alias("removed"), partners.alias("partners"))
+
+    def with_anchors(left: DataFrame, holders: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Both with ``anchor``: none (0) for a rare run, for a frequent one each anchor that other holders have."""
+        rare = [x.filter("NOT frequent").withColumn("anchor", F.lit(0).cast("long")) for x in (left, holders)]
+        often = [x.filter("frequent") for x in (left, holders)]
+        if often[0].isEmpty():
+            return rare[0], rare[1]
+        of = keyed.join(often[1].select("doc_id", "tie").distinct(), ["doc_id", "tie"], "left_semi").distinct()
+        anchors = durable(of.mapInArrow(anchor_batches, "doc_id long, tie long, anchor long"))
+        ends = anchors.groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
+        anchors = anchors.join(ends.filter("low < high").select("anchor"), "anchor", "left_semi")
+        both = [x.unionByName(y.join(anchors, ["doc_id", "tie"])) for x, y in zip(rare, often)]
+        return both[0], both[1]
 
     found = durable(align_pairs(pairs))
     open_docs, tried = pairs.select("doc_id", "tie").distinct(), pairs
@@ -223,13 +275,14 @@ def removed_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
         rest = keyed.join(open_docs, ["doc_id", "tie"], "left_semi").distinct()
         rest = rest.join(merged(found).drop("partners"), ["doc_id", "tie"], "left")
         left = rest.mapInArrow(*runs).join(owners, "line").filter("owner < doc_id")
-        left = durable(left.select("line", "doc_id", "tie"))
+        left = durable(left.select("line", "doc_id", "tie", "frequent"))
         if left.isEmpty():
             break
         holders = shared.join(left.select("line").distinct(), "line", "left_semi")
+        mine, holders = with_anchors(left, holders)
         part = F.col("tie") if spread is None else F.pmod(F.xxhash64("doc_id"), F.lit(spread))
-        holders = holders.groupBy("line", part.alias("part")).agg(F.min("doc_id").alias("owner"))
-        more = left.join(holders, "line").filter("owner < doc_id").select("owner", "doc_id", "tie").distinct()
+        holders = holders.groupBy("line", "anchor", part.alias("part")).agg(F.min("doc_id").alias("owner"))
+        more = mine.join(holders, ["line", "anchor"]).filter("owner < doc_id").select("owner", "doc_id", "tie").distinct()
         more = durable(more.join(tried, ["owner", "doc_id", "tie"], "left_anti"))
         found = durable(found.unionByName(align_pairs(more)))
         open_docs, tried = left.select("doc_id", "tie").distinct(), tried.unionByName(more)

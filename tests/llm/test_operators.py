@@ -13,6 +13,7 @@ import corpus_pipeline
 from checks.compare import connect, differences
 from headway.llm import bpe, decontaminate, language, lines, minhash, phrases, quality, repeats, secrets
 from headway.llm.queries import ORACLE, QUERIES, vocabulary
+from headway.session import durable
 
 
 def texts_of(df):
@@ -321,6 +322,57 @@ def test_copies_of_short_lines_go(spark):
     assert dict(texts_of(lines.dedup_lines(df))) == {1: text, 2: "own"}
 
 
+def plain_patience(a, b, i0=0, j0=0, ties=None):
+    """Matched places of a patience diff, written from its definition; ``""`` is no anchor."""
+    if not a or not b:
+        return set()
+    if a[0] == b[0]:
+        return {(i0, j0)} | plain_patience(a[1:], b[1:], i0 + 1, j0 + 1, ties)
+    if a[-1] == b[-1]:
+        return {(i0 + len(a) - 1, j0 + len(b) - 1)} | plain_patience(a[:-1], b[:-1], i0, j0, ties)
+    at = [(a.index(x), b.index(x)) for x in a if x and a.count(x) == 1 == b.count(x)]
+    chains = [[]]  # the longest rising runs that end with each anchor
+    for i, j in at:
+        before = [c for c in chains if not c or c[-1][1] < j]
+        longest = max(map(len, before))
+        chains += [c + [(i, j)] for c in before if len(c) == longest]
+    chain = max(chains, key=len)
+    if ties is not None and sum(len(c) == len(chain) for c in chains) > 1:
+        ties.append(chain)
+    found = {(i0 + i, j0 + j) for i, j in chain}
+    ends = [(-1, -1), *chain, (len(a), len(b))] if chain else []
+    for (i, j), (k, m) in zip(ends, ends[1:]):
+        found |= plain_patience(a[i + 1 : k], b[j + 1 : m], i0 + i + 1, j0 + j + 1, ties)
+    return found
+
+
+def plain_blocks(pairs, sizes):
+    """Places in the second document of maximal runs of diagonal neighbours with enough characters."""
+    gone = set()
+    for i, j in pairs:
+        if (i - 1, j - 1) not in pairs:
+            run = []
+            while (i, j) in pairs:
+                run.append(j)
+                i, j = i + 1, j + 1
+            if sum(sizes[x] for x in run) >= lines.MIN_CHARS:
+                gone.update(run)
+    return gone
+
+
+def test_alignment_equals_a_plain_patience_diff():
+    r, compared = random.Random(15), 0
+    for _ in range(600):
+        a = [r.randint(0, 30) for _ in range(r.randint(0, 14))]
+        b = [r.choice(a) if a and r.random() < 0.6 else r.randint(0, 30) for _ in range(r.randint(0, 14))]
+        ties = []
+        plain = plain_patience([x or "" for x in a], [x or "" for x in b], ties=ties)
+        if not ties:
+            compared += 1
+            assert set(lines.align(a, b)) == plain
+    assert compared > 200
+
+
 def aligned_with_all(rows):
     """Removal by an alignment of every document with every earlier one."""
     def bare(t):
@@ -339,6 +391,20 @@ def aligned_with_all(rows):
     return left
 
 
+def plainly_aligned_with_all(rows):
+    """The same by the plain diff."""
+    left = {}
+    for d, t in rows:
+        mine = [x.strip(" \t\r") for x in t.split("\n")]
+        gone = set()
+        for e, other in rows:
+            if e < d:
+                theirs = [x.strip(" \t\r") for x in other.split("\n")]
+                gone |= plain_blocks(plain_patience(theirs, mine), [len(x) for x in mine])
+        left[d] = "\n".join(x for i, x in enumerate(t.split("\n")) if i not in gone)
+    return left
+
+
 def long_line(k):
     return f"this is line number {k} and it has more than forty characters"
 
@@ -376,10 +442,50 @@ def test_lines_against_an_alignment_with_all_earlier_documents(spark):
     assert got == aligned_with_all(rows)
 
 
+@pytest.fixture
+def counted_pairs(monkeypatch):
+    """The numbers of pairs that are aligned, round by round."""
+    seen = []
+
+    def counted(df):
+        kept = durable(df)
+        if set(kept.columns) == {"owner", "doc_id", "tie"}:
+            seen.append(kept.count())
+        return kept
+
+    monkeypatch.setattr(lines, "durable", counted)
+    return seen
+
+
+@pytest.mark.parametrize("count", [400, 1600])
+def test_lines_repeated_inside_documents_align_no_pairs(spark, counted_pairs, count):
+    bar = "=" * 45
+    texts = [[f"own {d} {k} " + "x" * 30 for k in range(4)] for d in range(count)]
+    rows = [(d, "\n".join([t[0], bar, t[1], bar, t[2], bar, t[3]])) for d, t in enumerate(texts)]
+    got = dict(texts_of(lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"))))
+    assert got == dict(rows)
+    assert sum(counted_pairs) <= count
+
+
+@pytest.mark.parametrize("rare", [0, 1, 64])
+def test_frequent_runs_lose_no_alignment(spark, monkeypatch, rare):
+    monkeypatch.setattr(lines, "RARE", rare)
+    r = random.Random(rare + 20)
+    bars = ["=" * 45, "-" * 45, "short", "", long_line("head"), long_line("foot"), "half of a long line, a"]
+    rows = []
+    for d in range(90):
+        own = lambda: f"own {r.random()}"
+        rows.append((d, "\n".join(r.choice(bars) if r.random() < 0.7 else own() for _ in range(r.randint(1, 9)))))
+    got = dict(texts_of(lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"))))
+    assert got == aligned_with_all(rows)
+
+
 def test_lines_of_the_table_against_an_alignment_with_all(spark, docs):
     rows = sorted(texts_of(docs.limit(150)))
     got = dict(texts_of(lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"))))
     assert got == aligned_with_all(rows)
+    few = [(d, t) for d, t in rows if t.count("\n") < 200][:60]
+    assert aligned_with_all(few) == plainly_aligned_with_all(few)
 
 
 # ---- decontamination ----------------------------------------------------------------------------
