@@ -282,7 +282,10 @@ def removed_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
         mine, holders = with_anchors(left, holders)
         part = F.col("tie") if spread is None else F.pmod(F.xxhash64("doc_id"), F.lit(spread))
         holders = holders.groupBy("line", "anchor", part.alias("part")).agg(F.min("doc_id").alias("owner"))
-        more = mine.join(holders, ["line", "anchor"]).filter("owner < doc_id").select("owner", "doc_id", "tie").distinct()
+        named = mine.join(holders, ["line", "anchor"]).filter("owner < doc_id")
+        # One holder of a part for a run, whatever the number of anchors that name it.
+        named = named.groupBy("line", "part", "doc_id", "tie").agg(F.min("owner").alias("owner"))
+        more = named.select("owner", "doc_id", "tie").distinct()
         more = durable(more.join(tried, ["owner", "doc_id", "tie"], "left_anti"))
         found = durable(found.unionByName(align_pairs(more)))
         open_docs, tried = left.select("doc_id", "tie").distinct(), tried.unionByName(more)
