@@ -9,6 +9,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SLICE_BYTES = 2 << 20
+#: For work that holds many 64-bit numbers for each byte at once: its arrays then take some tens of MB in a worker.
+NARROW_SLICE_BYTES = 1 << 18
 
 
 def text_slices(batches, column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

@@ -27,7 +27,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from headway.llm.arrow import list_array, ranges, strings, text_slices
+from headway.llm.arrow import NARROW_SLICE_BYTES, list_array, ranges, strings, text_slices
 
 CACHE_WORDS = 1 << 17
 LONG_WORD = 512
@@ -238,7 +238,7 @@ def encode_decode(docs: DataFrame, vocabulary: str) -> DataFrame:
 
     def run(batches):
         bpe = load(vocabulary)
-        for batch in text_slices(batches):
+        for batch in text_slices(batches, limit=NARROW_SLICE_BYTES):
             ids, offsets = bpe.encode(strings(batch.column("text")))
             decoded = pa.array(bpe.decode(ids, offsets), pa.string())
             yield pa.RecordBatch.from_arrays(

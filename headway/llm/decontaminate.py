@@ -43,6 +43,8 @@ GROWTH = 1.2
 FILTER_BITS = 22
 BLOCK_BYTES = 4 << 20
 WINDOWS = 1 << 12
+#: Texts that the filter goes through at once: smaller slices take less of a worker's memory, but each costs a walk of every class.
+FILTER_SLICE_BYTES = 1 << 19
 SCHEMA = "doc_id long, item_id long, distance int, start long, end long"
 
 PLAIN = LOWER.copy()
@@ -289,7 +291,7 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS) -> D
         shared = docs.sparkSession.sparkContext.broadcast(block)
 
         def run(batches, shared=shared):
-            for batch in text_slices(batches):
+            for batch in text_slices(batches, limit=FILTER_SLICE_BYTES):
                 clean = np.ones(batch.num_rows, bool)
                 clean[[r[0] for r in shared.value.matches(batch.column("text"))]] = False
                 yield batch.filter(pa.array(clean))

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from headway.llm.arrow import flat_bytes, list_array, text_slices
+from headway.llm.arrow import NARROW_SLICE_BYTES, flat_bytes, list_array, text_slices
 from headway.llm.components import compact, components
 from headway.llm.hashing import LOWER, SPACE, mix, prefix_sums, span_hashes, word_spans
 from headway.session import durable
@@ -115,7 +115,7 @@ def bit_map(shingles: np.ndarray) -> np.ndarray:
 
 def sketch_batches(batches):
     made = Permutations.get()
-    for batch in text_slices(batches):
+    for batch in text_slices(batches, limit=NARROW_SLICE_BYTES):
         sets = shingle_sets(batch.column("text"))
         full = [made.signature(s) for s in sets if len(s)]
         bands = made.bands(np.array(full, np.int32).reshape(-1, ROWS * BANDS)).ravel()
@@ -132,7 +132,7 @@ def sketch_batches(batches):
 
 
 def set_batches(batches):
-    for batch in text_slices(batches):
+    for batch in text_slices(batches, limit=NARROW_SLICE_BYTES):
         sets = shingle_sets(batch.column("text"))
         offsets = np.r_[0, np.cumsum([len(s) for s in sets])]
         values = np.concatenate([np.zeros(0, np.uint64), *sets]).view(np.int64)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from headway.llm.arrow import flat_bytes, list_array, text_slices
+from headway.llm.arrow import NARROW_SLICE_BYTES, flat_bytes, list_array, text_slices
 from headway.llm.hashing import SPACE, gram_hashes, prefix_sums, span_hashes, word_spans
 
 SAMPLE_ROWS = 2000
@@ -72,7 +72,7 @@ def mean_of(table: np.ndarray, flat: np.ndarray, bounds: np.ndarray) -> np.ndarr
 
 def counted_features(batches):
     """Arrow batches (label, text) to (label, buckets, counts)."""
-    for batch in text_slices(batches):
+    for batch in text_slices(batches, limit=NARROW_SLICE_BYTES):
         flat, bounds = flat_bytes(batch.column("text"))
         blocks = [*feature_blocks(flat, bounds)]
         rows = [np.r_[np.full(END_COUNT, END), *(found[a[i] : b[i]] for found, a, b in blocks)] for i in range(batch.num_rows)]
@@ -182,7 +182,7 @@ def score_quality(docs: DataFrame, model: Embeddings | None) -> DataFrame:
     score = scorer(model, docs.sparkSession)
 
     def run(batches):
-        for batch in text_slices(batches):
+        for batch in text_slices(batches, limit=NARROW_SLICE_BYTES):
             scores = pa.array(score(batch.column("text")))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), scores], ["doc_id", "score"])
 
@@ -194,7 +194,7 @@ def keep_good(docs: DataFrame, model: Embeddings | None, threshold: float = 0.5)
     score = scorer(model, docs.sparkSession)
 
     def run(batches):
-        for batch in text_slices(batches):
+        for batch in text_slices(batches, limit=NARROW_SLICE_BYTES):
             yield batch.filter(pa.array(score(batch.column("text")) >= threshold))
 
     return docs.mapInArrow(run, docs.schema)
