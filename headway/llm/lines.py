@@ -42,6 +42,10 @@ MIN_CHARS = 40
 SPREAD = (16, 256)
 #: Holders up to which a run is rare. Both kinds give the same result.
 RARE = 64
+#: Numbers (line hashes, rows of a few columns) that make a partition of what a round passes on.
+PART_NUMBERS = 20_000
+#: Line hashes and runs of the documents that are left up to which they are sent to all tasks, at most some MB.
+FEW = 100_000
 
 
 def lines_of(text) -> Column:
@@ -216,6 +220,53 @@ def anchor_batches(batches):
             yield pa.RecordBatch.from_arrays([*own, pa.array(keys)], ["doc_id", "tie", "anchor"])
 
 
+def left_batches(min_chars: int):
+    """Rows of ``removed_lines``' documents with ``runs`` reduced to those that hold a line not in ``removed``."""
+    step = max(1, SLICE_BYTES >> 12)
+
+    def run(batches):
+        for whole in batches:
+            for at in range(0, whole.num_rows, step):
+                batch = whole.slice(at, step)
+                lists, runs, removed = (batch.column(n) for n in ("hashes", "runs", "removed"))
+                bounds = np.r_[0, np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False), dtype=np.int64)]
+                hashes = lists.flatten().to_numpy(zero_copy_only=False).astype(np.uint64)
+                gone = np.zeros(len(hashes), bool)
+                places = removed.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+                counts = removed.value_lengths().to_numpy(zero_copy_only=False)
+                gone[np.repeat(bounds[:-1], counts) + places] = True
+                sizes = batch.column("sizes").flatten().to_numpy(zero_copy_only=False)
+                doc, keys = run_keys(hashes, sizes, bounds, min_chars, gone)
+                first = np.searchsorted(doc, np.arange(batch.num_rows + 1))
+                ends = np.r_[0, np.cumsum(runs.value_lengths().to_numpy(zero_copy_only=False), dtype=np.int64)]
+                flat = runs.flatten()
+                named = flat.field("line").to_numpy(zero_copy_only=False)
+                left = np.ones(len(named), bool)
+                for k in np.flatnonzero(counts):
+                    left[ends[k] : ends[k + 1]] = np.isin(named[ends[k] : ends[k + 1]], keys[first[k] : first[k + 1]])
+                offsets = np.r_[0, np.cumsum(left)][ends].astype(np.int32)
+                kept = pa.ListArray.from_arrays(pa.array(offsets), flat.filter(pa.array(left)))
+                columns = [kept if n == "runs" else batch.column(n) for n in batch.schema.names]
+                yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
+
+    return run
+
+
+def filled(numbers: int) -> int:
+    """How many partitions so many numbers fill."""
+    return max(1, -(-numbers // PART_NUMBERS))
+
+
+def gathered(df: DataFrame, numbers: Column | None = None) -> tuple[DataFrame, int]:
+    """``df`` kept, in no more partitions than its rows (or the ``numbers`` they hold) fill, and how many these are.
+
+    What the rounds pass on is mostly small, whatever the number of shuffle partitions, and is read several times.
+    """
+    kept = durable(df)
+    parts = filled(kept.agg(F.sum(F.lit(1) if numbers is None else numbers)).first()[0] or 0)
+    return kept.coalesce(parts), parts
+
+
 def removed_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """(doc_id, tie, removed, partners): places of the lines to delete, of documents that lose some.
 
@@ -225,71 +276,100 @@ def removed_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     texts = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"))
     lines = F.transform(lines_of(F.col("text")), bare)
     hashed = F.transform("lines", lambda x: F.when(x == "", F.lit(0)).otherwise(F.xxhash64(x)).cast("long"))
-    keyed = durable(
+    keyed, parts = gathered(
         texts.filter("doc_id IS NOT NULL AND text IS NOT NULL")
         .select("doc_id", F.xxhash64("text").alias("tie"), lines.alias("lines"))
-        .select("doc_id", "tie", hashed.alias("hashes"), F.transform("lines", F.length).alias("sizes"))
+        .select("doc_id", "tie", hashed.alias("hashes"), F.transform("lines", F.length).alias("sizes")),
+        F.size("hashes"),
     )
-    runs = key_batches(min_chars), "line long, doc_id long, tie long"
-    naming = keyed.mapInArrow(*runs)
+    own = ["doc_id", "tie"]
+    naming = keyed.mapInArrow(key_batches(min_chars), "line long, doc_id long, tie long")
     owners = naming.groupBy("line").agg(
         F.min("doc_id").alias("owner"), F.max("doc_id").alias("latest"), (F.count("*") > RARE).alias("frequent")
     )
-    owners = durable(owners.filter("owner < latest").select("line", "owner", "frequent"))
-    shared = durable(naming.join(owners, "line"))
-    pairs = shared.filter("owner < doc_id").select("owner", "doc_id", "tie").distinct()
-    pairs = durable(pairs)
+    owners, _ = gathered(owners.filter("owner < latest").select("line", "owner", "frequent"))
+    shared, _ = gathered(naming.join(owners, "line"))
+
+    # The documents with an earlier holder of a run: their lines, the runs left, the owners tried, the result so far.
+    runs = shared.filter("owner < doc_id").groupBy(*own).agg(F.collect_set(F.struct("line", "owner", "frequent")).alias("runs"))
+    state = keyed.join(runs, own).dropDuplicates(own)
+    state = state.withColumns({
+        "tried": F.array_distinct("runs.owner"), "removed": F.array().cast("array<int>"), "partners": F.lit(0).cast("long")
+    })
+    numbers = F.size("hashes") + F.size("runs")
+    state, state_parts = gathered(state, numbers)
 
     def align_pairs(pairs: DataFrame) -> DataFrame:
-        earlier = keyed.join(pairs.select(F.col("owner").alias("doc_id")).distinct(), "doc_id", "left_semi")
-        earlier = earlier.select(F.col("doc_id").alias("owner"), F.col("hashes").alias("lines_a"))
-        later = keyed.join(pairs.select("doc_id", "tie").distinct(), ["doc_id", "tie"], "left_semi").distinct()
-        later = later.withColumnsRenamed({"hashes": "lines_b", "sizes": "sizes_b"})
-        both = pairs.join(later, ["doc_id", "tie"]).join(earlier, "owner")
-        both = both.select("doc_id", "tie", "lines_a", "lines_b", "sizes_b")
+        earlier = keyed.select(F.col("doc_id").alias("owner"), F.col("hashes").alias("lines_a"))
+        both = pairs.join(earlier, "owner").select(*own, "lines_a", "lines_b", "sizes_b")
         aligned = both.mapInArrow(aligned_batches(min_chars), "doc_id long, tie long, removed array<int>")
         return aligned.filter(F.size("removed") > 0)
 
-    def merged(aligned: DataFrame) -> DataFrame:
+    def settled(state: DataFrame, parts: int, aligned: DataFrame) -> DataFrame:
+        """``state`` with what ``aligned`` removes; finished documents have no runs left, and their lines go."""
         # A set of places, so that what is gathered is bounded by the document's lines, not by its partners.
-        places = aligned.select("doc_id", "tie", F.posexplode("removed").alias("nth", "place"))
-        partners = F.count(F.when(F.col("nth") == 0, F.lit(1)))
-        return places.groupBy("doc_id", "tie").agg(F.collect_set("place").alias("removed"), partners.alias("partners"))
-
-    def with_anchors(left: DataFrame, holders: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Both with ``anchor``: none (0) for a rare run, for a frequent one each anchor that other holders have."""
-        rare = [x.filter("NOT frequent").withColumn("anchor", F.lit(0).cast("long")) for x in (left, holders)]
-        often = [x.filter("frequent") for x in (left, holders)]
-        if often[0].isEmpty():
-            return rare[0], rare[1]
-        of = keyed.join(often[1].select("doc_id", "tie").distinct(), ["doc_id", "tie"], "left_semi").distinct()
-        anchors = durable(of.mapInArrow(anchor_batches, "doc_id long, tie long, anchor long"))
+        places = aligned.select(*own, F.posexplode("removed").alias("nth", "place"))
+        more = F.count(F.when(F.col("nth") == 0, F.lit(1))).alias("more")
+        taken = places.groupBy(*own).agg(F.collect_set("place").alias("taken"), more)
+        both = state.join(taken, own, "left").withColumns({
+            "removed": F.when(F.col("taken").isNull(), F.col("removed")).otherwise(F.array_union("removed", "taken")),
+            "partners": F.col("partners") + F.coalesce("more", F.lit(0)),
+        }).select(*state.columns)
+        left = both.coalesce(parts).mapInArrow(left_batches(min_chars), state.schema)
+        return left.withColumns({n: F.when(F.size("runs") > 0, F.col(n)) for n in ("hashes", "sizes", "tried")})
+
+    def lines_b(pairs: DataFrame) -> DataFrame:
+        return pairs.withColumnsRenamed({"hashes": "lines_b", "sizes": "sizes_b"})
+
+    def holders_of(left: DataFrame, frequent: bool) -> tuple[DataFrame, int]:
+        """(line, anchor, doc_id, tie) of all holders: no anchor (0) for a rare run, for a frequent one each that others have."""
+        holders = shared.join(left.select("line"), "line", "left_semi").drop("owner")
+        rare = holders.filter("NOT frequent").select("line", F.lit(0).cast("long").alias("anchor"), *own)
+        if not frequent:
+            return gathered(rare)
+        often, _ = gathered(holders.filter("frequent").select("line", *own))
+        of = keyed.join(often.select(*own), own, "left_semi").dropDuplicates(own).coalesce(parts)
+        anchors, _ = gathered(of.mapInArrow(anchor_batches, "doc_id long, tie long, anchor long"))
         ends = anchors.groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
         anchors = anchors.join(ends.filter("low < high").select("anchor"), "anchor", "left_semi")
-        both = [x.unionByName(y.join(anchors, ["doc_id", "tie"])) for x, y in zip(rare, often)]
-        return both[0], both[1]
+        return gathered(rare.unionByName(often.join(anchors, own).select("line", "anchor", *own)))
 
-    found = durable(align_pairs(pairs))
-    open_docs, tried = pairs.select("doc_id", "tie").distinct(), pairs
+    pairs = state.select(F.explode("tried").alias("owner"), *own, "hashes", "sizes")
+    state = durable(settled(state, state_parts, align_pairs(lines_b(pairs))))
+    done, tried, holders = state.filter(F.size("runs") == 0), None, None
     for spread in (*SPREAD, None):
-        rest = keyed.join(open_docs, ["doc_id", "tie"], "left_semi").distinct()
-        rest = rest.join(merged(found).drop("partners"), ["doc_id", "tie"], "left")
-        left = rest.mapInArrow(*runs).join(owners, "line").filter("owner < doc_id")
-        left = durable(left.select("line", "doc_id", "tie", "frequent"))
-        if left.isEmpty():
+        state = state.filter(F.size("runs") > 0)
+        frequent = F.coalesce(F.sum(F.exists("runs", lambda x: x["frequent"]).cast("int")), F.lit(0))
+        size, frequent = state.agg(F.coalesce(F.sum(numbers), F.lit(0)), frequent).first()
+        if not size:
             break
-        holders = shared.join(left.select("line").distinct(), "line", "left_semi")
-        mine, holders = with_anchors(left, holders)
+        # Few documents stay. While they do, the rest is not dealt out anew to find them.
+        few = F.broadcast if size <= FEW else lambda df: df
+        state_parts = filled(size)
+        state = state.coalesce(state_parts)
+        left = state.select(F.explode("runs.line").alias("line"), *own)
+        if holders is None:
+            holders, holder_parts = holders_of(few(left), frequent > 0)
+        else:
+            holders = holders.join(few(left.select("line")), "line", "left_semi")
+        mine = holders.join(few(left), ["line", *own], "left_semi")
         part = F.col("tie") if spread is None else F.pmod(F.xxhash64("doc_id"), F.lit(spread))
-        holders = holders.groupBy("line", "anchor", part.alias("part")).agg(F.min("doc_id").alias("owner"))
-        named = mine.join(holders, ["line", "anchor"]).filter("owner < doc_id")
+        firsts = holders.groupBy("line", "anchor", part.alias("part")).agg(F.min("doc_id").alias("owner")).coalesce(holder_parts)
+        named = mine.join(firsts, ["line", "anchor"]).filter("owner < doc_id")
         # One holder of a part for a run, whatever the number of anchors that name it.
-        named = named.groupBy("line", "part", "doc_id", "tie").agg(F.min("owner").alias("owner"))
-        more = named.select("owner", "doc_id", "tie").distinct()
-        more = durable(more.join(tried, ["owner", "doc_id", "tie"], "left_anti"))
-        found = durable(found.unionByName(align_pairs(more)))
-        open_docs, tried = left.select("doc_id", "tie").distinct(), tried.unionByName(more)
-    return merged(found)
+        named = named.groupBy("line", "part", *own).agg(F.min("owner").alias("owner"))
+        before = state.select(F.explode("tried").alias("owner"), *own)
+        before = before if tried is None else before.unionByName(tried)
+        more, _ = gathered(named.select("owner", *own).distinct().join(before, ["owner", *own], "left_anti"))
+        tried = more if tried is None else tried.unionByName(more)
+        pairs = more.join(few(state.select(*own, "hashes", "sizes")), own)
+        if size <= FEW and (pairs.agg(F.sum(F.size("hashes"))).first()[0] or 0) <= FEW:
+            pairs = F.broadcast(pairs)
+        state = durable(settled(state, state_parts, align_pairs(lines_b(pairs))))
+        done = done.unionByName(state.filter(F.size("runs") == 0))
+    else:
+        done = done.unionByName(state.filter(F.size("runs") > 0))
+    return done.filter(F.size("removed") > 0).select(*own, "removed", "partners")
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, counts: bool = True, keep_emptied: bool = True) -> DataFrame:

@@ -480,6 +480,42 @@ def test_frequent_runs_lose_no_alignment(spark, monkeypatch, rare):
     assert got == aligned_with_all(rows)
 
 
+def test_rounds_over_few_documents_run_few_tasks(spark):
+    parts, conf = 60, {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "60"}
+    a, b, c = long_line("a"), long_line("b"), long_line("c")
+    texts = [[c, b, a], [a, b, c], [b, c, a], *([a, f"own {d}", c, b] if d % 3 else [a, b, c] for d in range(90))]
+    rows = [(d, "\n".join(t)) for d, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    before = {k: spark.conf.get(k, None) for k in conf}
+    context, tracker = spark.sparkContext, spark.sparkContext.statusTracker()
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        context.setJobGroup("few documents", "")
+        got = dict(texts_of(lines.dedup_lines(df)))
+        jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup("few documents")]
+        stages = [tracker.getStageInfo(s) for s in {s for j in jobs if j for s in j.stageIds}]
+        tasks = sum(s.numCompletedTasks for s in stages if s)
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert got == aligned_with_all(rows)
+    assert jobs and tasks < 60 * parts
+
+
+@pytest.mark.parametrize("few", [0, 300])
+def test_many_documents_left_give_the_same_result(spark, monkeypatch, few):
+    monkeypatch.setattr(lines, "FEW", few)
+    monkeypatch.setattr(lines, "PART_NUMBERS", 50)
+    monkeypatch.setattr(lines, "RARE", 3)
+    r = random.Random(31)
+    pool = [*(long_line(k) for k in range(6)), "=" * 45, "short", "", "half of a long line, a"]
+    rows = [(d, "\n".join(r.choice(pool) for _ in range(r.randint(1, 8)))) for d in range(90)]
+    got = dict(texts_of(lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"))))
+    assert got == aligned_with_all(rows)
+
+
 def test_lines_of_the_table_against_an_alignment_with_all(spark, docs):
     rows = sorted(texts_of(docs.limit(150)))
     got = dict(texts_of(lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"))))
